@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, pii, topk, warc, word_bpe
+from . import embedding_dedup, language_id, minhash, packing, pii, topk, warc, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 85 % of their 3-word shingles."""
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents; a third of the ids teaches nothing."""
     docs = _table(spark, sf_dir, "documents")
@@ -46,4 +52,9 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op4_language_id, op5_best_fit_packing, op6_pii, op9_topk)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of vectors at a cosine of 0.95."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op4_language_id, op5_best_fit_packing, op6_pii, op9_topk, op10_embedding_dedup)}
