@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language_id, minhash, packing, pii, topk, warc, word_bpe
+from . import embedding_dedup, language_id, minhash, packing, pii, sentence_pieces, token_counts, topk, warc, word_bpe
+from .storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,27 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_columns(pii.detect(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents into pieces and decode them again."""
+    import public_tokenizers
+
+    pieces = sentence_pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("was"))
+    coded = sentence_pieces.encode(docs, pieces).drop("text")
+    back = sentence_pieces.decode(coded, pieces)
+    digest = F.crc32(F.array_join("ids", ",").cast("binary"))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_crc32"), (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("was")).alias("round_trip"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as flat token files, then count their tokens there."""
+    work, end_id = Workspace(spark, "tokens"), 49_407  # the vocabulary's end of text
+    path = work.fresh("files")
+    written = work.write(token_counts.write_token_files(_table(spark, sf_dir, "documents"), path, word_bpe.default_path(), end_id), "written")
+    counted = token_counts.count_tokens(spark, path, end_id)
+    return written.join(counted, ["file", "ordinal"], "left").select("doc_id", "n_tokens", "ended")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all vectors for every hundredth."""
     rows = _table(spark, sf_dir, "embeddings")
@@ -57,4 +79,4 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op4_language_id, op5_best_fit_packing, op6_pii, op9_topk, op10_embedding_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op4_language_id, op5_best_fit_packing, op6_pii, op7_sentencepiece, op8_token_counts, op9_topk, op10_embedding_dedup)}
