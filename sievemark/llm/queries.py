@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language_id, minhash, packing, pii, sentence_pieces, token_counts, topk, warc, word_bpe
+from . import embedding_dedup, language_id, license_scan, minhash, packing, pii, sentence_pieces, token_counts, topk, warc, word_bpe
 from .storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    found = license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_join(F.transform("matches", lambda m: m["license"]), ",")
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_licenses"), names.alias("licenses"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents; a third of the ids teaches nothing."""
     docs = _table(spark, sf_dir, "documents")
@@ -79,4 +86,4 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op4_language_id, op5_best_fit_packing, op6_pii, op7_sentencepiece, op8_token_counts, op9_topk, op10_embedding_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op3_license_scan, op4_language_id, op5_best_fit_packing, op6_pii, op7_sentencepiece, op8_token_counts, op9_topk, op10_embedding_dedup)}
