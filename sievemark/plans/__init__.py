@@ -1 +1,6 @@
-"""Part of the library; see the README."""
+"""The registered queries over the driver's tables."""
+
+from . import detection, evaluation, ingest
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "detection", "evaluation", "ingest"]
