@@ -10,10 +10,11 @@ the radius share a key. ``scheme`` picks chunks so long that a pair of texts at
 similarity asked for shares no key with a probability below 2e-6.
 
 Pairs that share a key are confirmed on the full shingle sets (64-bit hashes).
-Texts with equal sets are one vertex. Within a key all vertices are first held
-against one of them; only vertices of different components go on, in tiles of
-bounded size, so that a key of very many copies yields edges in proportion to its
-size. No pair between different components is left unconfirmed.
+Texts with equal sets are one vertex. Each vertex is first held against the pivot
+with which it shares most keys; only vertices of different components go on. Those
+of keys that many share are compared in tiles of bounded size, which yield a
+forest of links and no pairs; those of other keys as pairs. No pair between
+different components is left unconfirmed.
 
 Defined results: a text without words (null, empty, white space) has no shingles
 and links with nothing; repeated rows are equal texts; if an id comes with
@@ -39,8 +40,9 @@ from .components import connected_components
 from .storage import Workspace
 from .words import mix, shingle_sets
 
-#: Vertices of a key compared by a join; larger keys are dealt into tiles of this size.
-SMALL, TILE = 64, 1_024
+#: Vertices of a key compared by a join; those of larger keys are dealt into blocks
+#: of this size, whose sets are compared some columns at a time.
+SMALL, TILE, COLUMNS = 32, 512, 8_192
 #: Texts in a slice of an Arrow batch.
 ROWS = 256
 
@@ -137,27 +139,79 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v").join(a, "u").join(b, "v").withColumn("common", common).where(near).select("u", "v")
 
 
-def _tiles(rows: DataFrame, s: Scheme) -> DataFrame:
-    """Pairs within the pruning distance, of different components, from keys of
-    many vertices: tile by tile, so that no task holds a whole key."""
-    blocks = F.ceil(F.col("n") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "comp", "sig")
+def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as products of incidence
+    matrices over the shingles that occur on both sides, some columns at a time."""
+    flat = [np.concatenate(x) for x in (first, second)]
+    row = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (first, second)]
+    both = np.intersect1d(*flat)
+    out = np.zeros((len(first), len(second)), np.float64)
+    at = [np.searchsorted(both, f) for f in flat]
+    known = [(i < len(both)) & (both[np.minimum(i, len(both) - 1)] == f) if len(both) else np.zeros(len(f), bool) for i, f in zip(at, flat, strict=True)]
+    for begin in range(0, len(both), COLUMNS):
+        sides = []
+        for side, x in enumerate((first, second)):
+            here = known[side] & (at[side] >= begin) & (at[side] < begin + COLUMNS)
+            m = np.zeros((len(x), min(COLUMNS, len(both) - begin)), np.float32)
+            m[row[side][here], at[side][here] - begin] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
+    """The confirmed links of a tile between components, as a forest: (u, v) with v
+    the smallest vertex that u reaches inside the tile."""
+    first, second = rows[rows["mine"] == key[1]], rows[rows["mine"] == key[2]]
+    none = pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
+    a, b = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), s.slots) for x in (first, second))
+    equal = np.zeros((len(a), len(b)), np.uint8)
+    for k in range(s.slots):
+        equal += a[:, k, None] == b[None, :, k]
+    ask = (s.slots - equal <= s.prune) & (first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :])
+    r, c = np.flatnonzero(ask.any(1)), np.flatnonzero(ask.any(0))
+    if not len(r):
+        return none
+    left, right = first.iloc[r], second.iloc[c]
+    sets = [[np.asarray(x, np.int64) for x in side["shingles"]] for side in (left, right)]
+    common = _common(*sets)
+    sizes = [np.array([len(x) for x in side]) for side in sets]
+    near = ask[np.ix_(r, c)] & (100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common))
+    ids, place = np.unique(np.concatenate([left["id"], right["id"]]), return_inverse=True)
+    u, v = np.nonzero(near)
+    u, v = place[u], place[len(r) + v]
+    least = np.arange(len(ids))
+    while True:
+        new = least.copy()
+        np.minimum.at(new, u, least[v])
+        np.minimum.at(new, v, new[u])
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    hang = np.flatnonzero(least != np.arange(len(ids)))
+    return pd.DataFrame({"u": ids[hang], "v": ids[least[hang]]})
+
+
+def _hot_links(hot: DataFrame, sigs: DataFrame, sets: DataFrame, s: Scheme, percent: int, work: Workspace) -> DataFrame:
+    """Links among the vertices of keys that very many vertices share.
+
+    Vertices that such keys connect form a cluster; a cluster is dealt into blocks
+    and each pair of blocks is a tile, in which pairs within the pruning distance
+    are confirmed at once on their sets. A set moves once for each block of its
+    cluster, not for each key, and no list of pairs is ever written.
+    """
+    clusters = connected_components(hot.select(F.col("id").alias("u"), F.col("pivot").alias("v")), work).withColumnRenamed("component", "cluster")
+    inside = hot.select("id", "comp").distinct().join(clusters, "id")
+    blocks = inside.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    dealt = inside.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(sigs, "id").join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "comp", "sig", "shingles")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        first, second = rows[rows["mine"] == key[1]], rows[rows["mine"] == key[2]]
-        a, b = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), -1) for x in (first, second))
-        out = []
-        for k in range(len(a)):
-            d = (b != a[k]).sum(1)
-            ok = (d <= s.prune) & (second["comp"].to_numpy() != first["comp"].iat[k])
-            if key[1] == key[2]:
-                ok[: k + 1] = False
-            out.append(pd.DataFrame({"u": first["id"].iat[k], "v": second["id"].to_numpy()[ok], "distance": d[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": [], "distance": []})
+        return _confirm_tile(key, rows, s, percent)
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(run, "u long, v long, distance int")
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(run, "u long, v long")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -203,34 +257,24 @@ def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, word
     links = work.write(_confirm(best, sets, percent), "links")
     found = connected_components(links, work)
 
-    # What shares a key across components.
-    labelled = members.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    labelled = work.write(labelled, "labelled")
-    still = labelled.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least != most").select("key", "n")
-    sigs = classes.select("id", "sig")
-    left = work.write(labelled.join(still, "key").join(sigs, "id"), "open")
-    a, b = (left.where(f"n <= {SMALL}").select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "sig"))) for x in "ab")
-    distance = _distance(F.col("sig_a"), F.col("sig_b"), s.slots)
-    met = a.join(b, (a["key"] == b["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & (distance <= s.prune))
-    few = met.select(F.col("id_a").alias("u"), F.col("id_b").alias("v"), distance.alias("distance"))
-    many = _tiles(left.where(f"n > {SMALL}"), s).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "distance")
-    pairs = work.write(few.unionByName(many).distinct(), "pairs")
+    # What shares a key across components: hot keys in tiles, then the pairs of the others.
+    def open_keys(found: DataFrame) -> DataFrame:
+        labelled = members.select("key", "id", "pivot").join(found, "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("comp"))
+        labelled = work.write(labelled, "labelled")
+        still = labelled.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least != most").select("key", "n")
+        return work.write(labelled.join(still, "key"), "open")
 
-    # The closest pair of each component first, as long as that joins many; then all that is left.
-    vertices = involved.count()
-    while True:
-        name = found.select("id", "component")
-        open_pairs = pairs.join(name.withColumnsRenamed({"id": "u", "component": "cu"}), "u", "left").join(name.withColumnsRenamed({"id": "v", "component": "cv"}), "v", "left")
-        open_pairs = work.write(open_pairs.select("u", "v", "distance", F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv")).where("cu != cv"), "pairs")
-        n = open_pairs.count()
-        if not n:
-            return links
-        last = n <= vertices
-        ends = open_pairs.select("u", "v", "distance", F.explode(F.array("cu", "cv")).alias("c"))
-        closest = ends.groupBy("c").agg(F.min_by(F.struct("u", "v"), F.struct("distance", "u", "v")).alias("p")).select("p.u", "p.v").distinct()
-        more = work.write(_confirm(open_pairs if last else closest, sets, percent), "links")
+    sigs = classes.select("id", "sig")
+    left = open_keys(found)
+    hot = left.where(f"n > {SMALL}")
+    if hot.limit(1).count():
+        more = work.write(_hot_links(hot, sigs, sets, s, percent, work), "links")
         links = work.write(links.unionByName(more), "links")
-        if last:
-            return links
-        vertices = vertices if more.count() else n  # no gain: confirm all at once
         found = connected_components(links, work)
+        left = open_keys(found)
+    few = left.where(f"n <= {SMALL}").join(sigs, "id")
+    a, b = (few.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "sig"))) for x in "ab")
+    distance = _distance(F.col("sig_a"), F.col("sig_b"), s.slots)
+    met = a.join(b, (a["key"] == b["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & (distance <= s.prune))
+    pairs = work.write(met.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct(), "pairs")
+    return work.write(links.unionByName(_confirm(pairs, sets, percent)), "links")
