@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embedding_dedup, language_id, license_scan, minhash, packing, pii, sentence_pieces, token_counts, topk, warc, word_bpe
+from .oracles import ORACLES
 from .storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,5 +89,4 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_minhash, op3_license_scan, op4_language_id, op5_best_fit_packing, op6_pii, op7_sentencepiece, op8_token_counts, op9_topk, op10_embedding_dedup)}
 
-#: DuckDB SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
