@@ -72,6 +72,8 @@ class WordBpe:
         parts = self.parts
         if low.isalpha():
             return parts[low]
+        if not low:
+            return b""
         if low[-1] in ".,!|" and low[:-1].isalpha():
             return parts[low[:-1]] + parts[low[-1]]
         return b"".join(map(parts.__getitem__, self.find(low)))
