@@ -6,8 +6,8 @@ the text is cut into overlapping windows of one and a half times that length. A
 window's MinHash is of one permutation: the range of hashes is cut into ``BANDS``
 equal bands, and the smallest hash in each band is that band's value. A window and
 a template with one band value in common meet. What a template that is whole in a
-window, or to four fifths, is missed with is bounded by ``miss``: under 1 in 1000
-for every class. Where they meet, the template's shingles are counted exactly in
+window, or to four fifths, is missed with is bounded by ``miss``: under 2 in 10,000
+for the templates here. Where they meet, the template's shingles are counted exactly in
 each window of the text, and those with ``CONTAINED`` of them are matches.
 
 Templates are literals of the plan, so their number is checked.
