@@ -38,7 +38,7 @@ from .storage import slices
 MARK = "▁"
 PENALTY = 10.0
 #: Words kept by a worker, the longest kept, bytes solved at once.
-KEPT, LONGEST, SOLVED = 500_000, 64, 1 << 20
+KEPT, LONGEST, SOLVED = 300_000, 64, 1 << 20
 #: Bytes from which a word is solved alone.
 LONG = 512
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
