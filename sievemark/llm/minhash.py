@@ -224,20 +224,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     s = scheme(percent / 100)
     rows = work.write(sketch(df, key, text, words, s.slots), "sketch")
     classes = work.write(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_hash").agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
-    edges = _links(df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), rows, classes, s, words, percent, work)
-    found = connected_components(edges, work)
+    found = _components(df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), rows, classes, s, words, percent, work)
     named = classes.select("set_hash", "id").join(found, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     out = rows.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
     component = F.coalesce("component", "id")
     return out.select("id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, words: int, percent: int, work: Workspace) -> DataFrame:
-    """Confirmed links (u, v) that connect all classes which links connect."""
+def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, words: int, percent: int, work: Workspace) -> DataFrame:
+    """(id, component) of the classes that have links."""
     keyed = classes.select("id", F.explode(_keys(F.col("sig"), s)).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot != last").select("key", "pivot")
     members = work.write(keyed.join(shared, "key"), "members")
-    involved = work.write(members.select("id").distinct(), "involved")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,15 +244,26 @@ def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, word
                 sets = [x.view(np.int64) for x in shingle_sets(part.column(1).to_pylist(), words)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
-    sets = docs.join(involved, "id", "left_semi").mapInArrow(to_sets, "id long, shingles array<long>")
-    if rows.groupBy("id").count().where("count > 1").limit(1).count():
-        sets = sets.distinct()
-    sets = work.write(sets, "sets")
+    repeated = rows.groupBy("id").count().where("count > 1").limit(1).count()
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The full sets of some vertices, read from their texts."""
+        sets = docs.join(ids.distinct(), "id", "left_semi").mapInArrow(to_sets, "id long, shingles array<long>")
+        return work.write(sets.distinct() if repeated else sets, "sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("id")))
+        links = work.write(_confirm(pairs, sets, percent), "links")
+        work.drop(sets)
+        return links
 
     # Each vertex against the pivot with which it shares most keys.
+    sigs = classes.select("id", "sig")
     votes = members.where("id != pivot").groupBy("id", "pivot").count()
     best = votes.groupBy("id").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("v")).withColumnRenamed("id", "u")
-    links = work.write(_confirm(best, sets, percent), "links")
+    best = best.join(sigs.select(F.col("id").alias("u"), F.col("sig").alias("sig_u")), "u").join(sigs.select(F.col("id").alias("v"), F.col("sig").alias("sig_v")), "v")
+    star = work.write(best.where(_distance(F.col("sig_u"), F.col("sig_v"), s.slots) <= s.prune).select("u", "v"), "star")
+    links = confirmed(star)
     found = connected_components(links, work)
 
     # What shares a key across components: hot keys in tiles, then the pairs of the others.
@@ -262,13 +271,16 @@ def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, word
         labelled = members.select("key", "id", "pivot").join(found, "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("comp"))
         labelled = work.write(labelled, "labelled")
         still = labelled.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least != most").select("key", "n")
-        return work.write(labelled.join(still, "key"), "open")
+        rows = work.write(labelled.join(still, "key"), "open")
+        work.drop(labelled)
+        return rows
 
-    sigs = classes.select("id", "sig")
     left = open_keys(found)
     hot = left.where(f"n > {SMALL}")
     if hot.limit(1).count():
+        sets = sets_of(hot.select("id"))
         more = work.write(_hot_links(hot, sigs, sets, s, percent, work), "links")
+        work.drop(sets, left)
         links = work.write(links.unionByName(more), "links")
         found = connected_components(links, work)
         left = open_keys(found)
@@ -277,4 +289,5 @@ def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme, word
     distance = _distance(F.col("sig_a"), F.col("sig_b"), s.slots)
     met = a.join(b, (a["key"] == b["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & (distance <= s.prune))
     pairs = work.write(met.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct(), "pairs")
-    return work.write(links.unionByName(_confirm(pairs, sets, percent)), "links")
+    more = confirmed(pairs)
+    return connected_components(links.unionByName(more), work) if more.limit(1).count() else found
