@@ -37,8 +37,9 @@ from .storage import slices
 
 MARK = "▁"
 PENALTY = 10.0
-#: Words kept by a worker, the longest kept, bytes solved at once.
-KEPT, LONGEST, SOLVED = 300_000, 64, 1 << 20
+#: Words kept by a worker, the longest kept, bytes of words solved at once,
+#: characters of texts encoded at once, ids decoded at once.
+KEPT, LONGEST, SOLVED, CHARS, IDS = 300_000, 64, 1 << 17, 1 << 19, 1 << 18
 #: Bytes from which a word is solved alone.
 LONG = 512
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -200,6 +201,7 @@ def encode_texts(p: Pieces, texts: list[str | None]) -> list[bytes | None]:
         known.clear()
     cut = [None if not t or MARK in t else _cut(p, t) for t in texts]
     new = list({w for words in cut if words for w in words if w not in known})
+    new.sort(key=len)  # words of like length take as many steps
     coded = [w.encode("utf-8", "surrogatepass") for w in new]
     extra = {w: _solve_long(p, c) for w, c in zip(new, coded, strict=True) if len(c) > LONG}
     new, coded = [w for w in new if w not in extra], [c for c in coded if len(c) <= LONG]
@@ -248,7 +250,7 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(kept)).to_pylist()
-            for i, j in slices(texts, [len(t or "") for t in texts], SOLVED):
+            for i, j in slices(texts, [len(t or "") for t in texts], CHARS):
                 ids = encode_texts(shared.value, texts[i:j])
                 ends = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
                 values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<i4"), pa.int32())
@@ -265,10 +267,11 @@ def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "decoded"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(len(kept))
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.asarray(lists.offsets).tolist()
-            at = ends[0] if ends else 0
-            texts = [decode_ids(shared.value, flat[a - at : b - at]) if ok else None for a, b, ok in zip(ends, ends[1:], lists.is_valid().to_pylist(), strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, out])
+            lists, sizes = batch.column(len(kept)), np.diff(np.asarray(batch.column(len(kept)).offsets))
+            for i, j in slices(range(len(sizes)), sizes.tolist(), IDS):
+                part = lists.slice(i, j - i)
+                flat, ends = part.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *sizes[i:j]]).tolist()
+                texts = [decode_ids(shared.value, flat[a:b]) if ok else None for a, b, ok in zip(ends, ends[1:], part.is_valid().to_pylist(), strict=False)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(kept)]), pa.array(texts, pa.string())], names=[*kept, out])
 
     return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").alias("_ids")).mapInArrow(run, f"{schema}`{out}` string")
