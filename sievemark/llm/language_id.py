@@ -28,6 +28,8 @@ UNDETERMINED = "und"
 ORDERS, BUCKET_BITS, SMOOTHING = (1, 2, 3), 14, 0.5
 #: Texts a language teaches at most, and languages learned at most (those with most texts).
 SAMPLE, LANGUAGES = 1_000, 256
+#: Parts in which a language's rows are ranked first.
+SALTS = 64
 #: Characters handled at once.
 CHARS = 1 << 18
 _ODD = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -131,9 +133,14 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_
     and what comes to the driver is one count a bucket and language."""
     rows = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.col(label) != UNDETERMINED))
     rows = rows.where(where) if where is not None else rows
-    order = Window.partitionBy("_label").orderBy("_rank", "_key")
     keys = rows.select(F.col(label).alias("_label"), F.col(key).alias("_key"), F.xxhash64(key).alias("_rank"))
-    chosen = keys.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).select("_label", "_key")
+    keys = keys.withColumn("_salt", F.pmod(F.xxhash64("_rank"), F.lit(SALTS)))
+    # First within salted parts of a language, so that a hot one is not ranked in one task.
+    chosen = keys
+    for part in (["_label", "_salt"], ["_label"]):
+        order = Window.partitionBy(*part).orderBy("_rank", "_key")
+        chosen = chosen.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
+    chosen = chosen.select("_label", "_key")
     common = [r[0] for r in chosen.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(LANGUAGES).collect()]
     # At most sample * LANGUAGES keys of 8 bytes, by construction.
     chosen = F.broadcast(chosen.where(F.col("_label").isin(common)))
