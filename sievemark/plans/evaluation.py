@@ -119,7 +119,7 @@ def preset_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse then refined sweep, three presets, feasibility clamp, carry-forward."""
     scores, truth = _swept(spark, sf_dir)
     coarse = C.grid_metrics(scores, truth, "family", C.coarse_grid())
-    centre = C.pick(coarse, "family", "centre", [F.desc("f1"), F.col("t").asc()])
+    centre = C.centres(coarse, "family")
     fine = C.grid_metrics(scores.join(centre, "family"), truth, "family", C.refined_grid(F.col("centre")))
     swept = C.presets(fine, "family")
     clamped = swept.select("family", F.least("conservative", F.lit(0.95)).alias("conservative"), F.least("balanced", F.lit(0.90)).alias("balanced"), "aggressive")
