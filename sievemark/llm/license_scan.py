@@ -30,18 +30,37 @@ _BAND_SHIFT = 59  # 64 bits less the 5 of a band's number
 #: Band values that the templates may have together.
 MOST_VALUES = 50_000
 
-#: Short notices and first sentences of public licenses.
+#: Short notices and first sentences of public licenses. A notice
+#: of up to four shingles matches only whole, so that versions and variants differ.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "mit-notice": "Released under the MIT License.",
+    "mit-licensed-notice": "Licensed under the MIT License.",
+    "bsd-notice": "Licensed under the BSD License.",
+    "bsd-2-clause-notice": "Licensed under the BSD-2-Clause License.",
+    "bsd-3-clause-notice": "Licensed under the BSD-3-Clause License.",
+    "isc-notice": "Licensed under the ISC License.",
+    "gpl-notice": "Licensed under the GNU General Public License",
+    "lgpl-notice": "Licensed under the GNU Lesser General Public License",
+    "agpl-notice": "Licensed under the GNU Affero General Public License",
+    "mpl-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "epl-2.0-notice": "Licensed under the Eclipse Public License, Version 2.0.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
 }
+#: The Creative Commons licenses, by their short notice and their full name.
+for _short, _full in {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}.items():
+    TEMPLATES[f"cc-{_short.lower()}-4.0-notice"] = f"Licensed under CC {_short} 4.0."
+    TEMPLATES[f"cc-{_short.lower()}-4.0-name"] = f"Creative Commons {_full} 4.0 International"
 
 
 def words(text: Column) -> Column:

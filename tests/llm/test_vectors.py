@@ -1,8 +1,11 @@
 """Top-k search, embedding near-dedup, license scan, pipeline."""
 
 import math
+import os
+import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sievemark.llm import embedding_dedup, license_scan, topk
@@ -86,6 +89,39 @@ def test_license_notices_at_every_place(spark):
             assert matches == []
 
 
+#: License lines as they stand in documents, and others of their families.
+NOTICES = {
+    "Licensed under the Apache License, Version 2.0.": ["apache-2.0-notice"],
+    "Released under the MIT License.": ["mit-notice"],
+    "This work is licensed under the GNU General Public License, version 3.": ["gpl-notice"],
+    "Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0-notice"],
+    "Licensed under the GNU Lesser General Public License, version 2.1.": ["lgpl-notice"],
+    "Licensed under the GNU Affero General Public License v3.": ["agpl-notice"],
+    "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0-notice"],
+    "Licensed under CC BY-NC-SA 4.0.": ["cc-by-nc-sa-4.0-notice"],
+    "This work is under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa-4.0-name"],
+    "All rights reserved.": [],
+}
+
+
+def test_license_lines_of_documents(spark):
+    rows = [(i, "some words before\n" + line + "\nand after") for i, line in enumerate(NOTICES)]
+    got = {r.doc_id: [m.license for m in r.matches] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(NOTICES.values()))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_license_lines_of_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    named = 0
+    for r in license_scan.scan(docs).collect():
+        lines = [x for x in (r.text or "").split("\n") if re.search("(licensed|released) under", x, re.I)]
+        assert {m.license for m in r.matches} >= {n for x in lines for n in NOTICES[x]}
+        assert not lines or r.matches
+        named += bool(lines)
+    assert named
+
+
 def test_license_bands_keep_their_bound():
     assert all(license_scan.miss(n) < 1e-3 for n in range(1, 40) if n != 2)
     sizes = [len(t.split()) - license_scan.WORDS + 1 for t in license_scan.TEMPLATES.values()]
