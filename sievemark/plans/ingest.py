@@ -209,7 +209,7 @@ u AS (SELECT p_partkey, kw.ord AS word_ord, kw.w AS keyword, unnest([{'o': 0, 's
 f AS (SELECT keyword, sc.s AS category, arg_min(b, p_partkey * 100 + word_ord * 10 + sc.o) AS source FROM u GROUP BY 1, 2) SELECT * FROM f""")
 def keyword_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(keyword + alias) x category rows; of equal ones the first proposed."""
-    rows = table(spark, sf_dir, "part").where("p_partkey % 10 = 0").select("p_partkey", F.col("p_brand").alias("source"), F.lower("p_name").alias("name"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("source"), F.lower("p_name").alias("name"))
     words = rows.select("p_partkey", "source", F.posexplode(F.array(F.split_part("name", F.lit(" "), F.lit(1)), F.split_part("name", F.lit(" "), F.lit(2)))).alias("word_ord", "keyword"))
     scoped = words.select("*", F.posexplode(F.array(F.lit("phone"), F.lit("account"))).alias("scope_ord", "category"))
     keyed = scoped.withColumn("k", F.struct("keyword", "category"))
