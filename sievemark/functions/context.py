@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -84,3 +85,16 @@ def with_features(rows: DataFrame, keywords: dict[str, tuple[list[str], list[str
             yield b[["id", "family", "features"]]
 
     return rows.select("id", "text", F.col("start").cast("int"), F.col("length").cast("int"), "family", "doctype").mapInPandas(run, "id long, family string, features array<double>")
+
+
+def match_features(docs: DataFrame, family: str, pattern: str, keywords: tuple[list[str], list[str]]) -> DataFrame:
+    """``docs`` (id, text, doctype) as (id, family, features), one row a match of
+    ``pattern``, each at its own offset."""
+    found = re.compile(pattern, re.ASCII)  # Java's \s is ASCII
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(r.id, family, features(r.text, m.start(), len(m[0]), *keywords, r.doctype)) for r in b.itertuples() for m in found.finditer(units(r.text or ""))]
+            yield pd.DataFrame(rows, columns=["id", "family", "features"])
+
+    return docs.select("id", "text", "doctype").mapInPandas(run, "id long, family string, features array<double>")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import validators as V
-from ..functions.context import with_features
-from ..functions.detectors import hits
+from ..functions.context import match_features
+from ..functions.detectors import REGISTRY
 from ..operators import bloom, generate
 from .registry import query, table
 
@@ -71,7 +71,5 @@ def bca_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def context_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of every phone number in the documents."""
-    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn("v", F.explode(hits(F.col("text"), "phone")))
-    found = docs.select(F.col("doc_id").alias("id"), "text", (F.call_function("instr", F.col("text"), F.col("v")) - 1).alias("start"), F.length("v").alias("length"), F.lit("phone").alias("family"), F.lit("generic").alias("doctype"))
-    words = {"phone": (["phone", "tel", "call", "the"], ["case no", "invoice"])}
-    return with_features(found, words)
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("id"), "text", F.lit("generic").alias("doctype"))
+    return match_features(docs, "phone", REGISTRY["phone"].pattern, (["phone", "tel", "call", "the"], ["case no", "invoice"]))

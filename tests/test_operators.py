@@ -240,3 +240,16 @@ def test_stream_of_detections(spark, tmp_path):
     stream = spark.readStream.schema("id int, text string").parquet(f"{tmp_path}/in")
     detect_stream(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(60)
     assert [(r.kind, r.value) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [("email", "***.org"[:3] + ".org")]
+
+
+def test_context_features_at_each_match(spark, tmp_path):
+    from sievemark.plans import QUERIES
+
+    number = "415-555-0123"
+    texts = [f"Call {number} now\nand again:\n{number} invoice {number}", f"9{number} then tel: {number}", f"\U0001f600\U0001f600 phone: {number}\n{number}", "none", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at = {0: [5, 33, 54], 1: [24], 2: [12, 25]}
+    words = (["phone", "tel", "call", "the"], ["case no", "invoice"])
+    want = sorted((i, "phone", context.features(texts[i], s, len(number), *words, "generic")) for i, starts in at.items() for s in starts)
+    assert all(context.units(texts[i])[s : s + len(number)] == number for i, starts in at.items() for s in starts)
+    assert sorted((r.id, r.family, r.features) for r in QUERIES["context_features"](spark, str(tmp_path)).collect()) == want
