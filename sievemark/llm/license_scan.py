@@ -5,10 +5,12 @@ those are 5-word shingles. Templates of like length form a class; for each class
 the text is cut into overlapping windows of one and a half times that length. A
 window's MinHash is of one permutation: the range of hashes is cut into ``BANDS``
 equal bands, and the smallest hash in each band is that band's value. A window and
-a template with one band value in common meet. What a template that is whole in a
-window, or to four fifths, is missed with is bounded by ``miss``: under 2 in 10,000
-for the templates here. Where they meet, the template's shingles are counted exactly in
-each window of the text, and those with ``CONTAINED`` of them are matches.
+a template of its class with one band value in common meet. What a template that is
+whole in a window, or to four fifths, is missed with is bounded by ``miss``. A template
+of one shingle has no bands: every hash of the text is looked up. Where a set of
+templates has one, as ``TEMPLATES`` does, that lookup serves all of them, nothing is
+missed, and no band is computed. Where they meet, the template's shingles are counted
+exactly in each window of the text, and those with ``CONTAINED`` of them are matches.
 
 Templates are literals of the plan, so their number is checked.
 
@@ -159,9 +161,14 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "te
     kept = [c for c in df.columns if c != "matches"]
     # A Python-free plan of two steps: hash the text once, then look at its windows.
     hashed = df.select(*(F.col(f"`{c}`") for c in kept), shingle_hashes(F.col(f"`{text}`")).alias("_hashes"))
-    values = F.concat(*(band_values(F.col("_hashes"), *windows(n)) for n in sizes))
-    met = F.array_intersect(values, _longs(sorted({v for t in known for v in t["values"]})))
-    hashed = hashed.withColumn("_met", met)
+    # All hashes are looked up for templates of one shingle: then the others are, too.
+    exact = windows(sizes[0])[0] == 1
+    keys = "shingles" if exact else "values"
+    by_class = [0] if exact else sizes
+    for n in by_class:
+        values = F.col("_hashes") if exact else band_values(F.col("_hashes"), *windows(n))
+        asked = sorted({v for t in known if exact or t["size"] == n for v in t[keys]})
+        hashed = hashed.withColumn(f"_met{n}", F.array_intersect(values, _longs(asked)))
 
     def best(t: dict) -> Column:
         width, step = windows(t["size"])
@@ -169,8 +176,9 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "te
         each = F.transform(_cut(F.col("_hashes"), width, step), lambda w, i: F.struct(share(w).alias("containment"), (-i * step).alias("place")))
         top = F.array_max(each)
         match = F.struct(F.lit(t["name"]).alias("license"), (-top["place"]).cast("int").alias("first_word"), top["containment"].alias("containment"))
-        return F.when(F.arrays_overlap(F.col("_met"), _longs(t["values"])), match)
+        return F.when(F.arrays_overlap(F.col(f"_met{0 if exact else t['size']}"), _longs(t[keys])), match)
 
     found = F.filter(F.array(*(best(t) for t in known)), lambda m: m.isNotNull() & (m["containment"] >= CONTAINED))
     none = F.array().cast("array<struct<license:string,first_word:int,containment:double>>")
-    return hashed.select(*(F.col(f"`{c}`") for c in kept), F.when(F.size("_met") > 0, found).otherwise(none).alias("matches"))
+    any_met = F.greatest(F.lit(0), *(F.size(f"_met{n}") for n in by_class)) > 0
+    return hashed.select(*(F.col(f"`{c}`") for c in kept), F.when(any_met, found).otherwise(none).alias("matches"))

@@ -122,6 +122,21 @@ def test_license_lines_of_tables(spark):
     assert named
 
 
+def test_license_bands_meet_in_their_class(spark):
+    def met(templates, text):
+        df = license_scan.scan(spark.createDataFrame([(text,)], "text string"), templates)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [m.license for m in df.first().matches], plan
+
+    # One-shingle templates are looked up, and no band is cut; without them bands decide.
+    short, long = license_scan.TEMPLATES["mit-notice"], license_scan.TEMPLATES["gpl"]
+    for templates, bands in (({"a": short, "b": long}, False), ({"b": long, "c": license_scan.TEMPLATES["gpl-notice"]}, True)):
+        found, plan = met(templates, f"w1 w2 {long} w3")
+        assert found == ["b"] and ("shiftrightunsigned" in plan.lower() or ">>>" in plan) == bands
+        assert met(templates, "w1 w2 w3 w4 w5 w6")[0] == []
+    assert met({"a": short, "b": long}, short)[0] == ["a"]
+
+
 def test_license_bands_keep_their_bound():
     assert all(license_scan.miss(n) < 1e-3 for n in range(1, 40) if n != 2)
     sizes = [len(t.split()) - license_scan.WORDS + 1 for t in license_scan.TEMPLATES.values()]
