@@ -18,6 +18,8 @@ RADIUS, TOKENS = 200, 5
 
 def units(text: str) -> str:
     """One character for each UTF-16 code unit."""
+    if text.isascii() or max(text) <= "\uffff":
+        return text
     raw = text.encode("utf-16-le", "surrogatepass")
     return "".join(chr(raw[i] | raw[i + 1] << 8) for i in range(0, len(raw), 2))
 
