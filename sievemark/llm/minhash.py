@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import Workspace
+from .storage import Workspace, among
 from .words import mix, shingle_sets
 
 #: Vertices of a key compared by a join; those of larger keys are dealt into blocks
@@ -130,6 +130,13 @@ def _distance(a: Column, b: Column, slots: int) -> Column:
     return total
 
 
+def _may_link(a: str, b: str, s: Scheme, percent: int) -> Column:
+    """Whether two vertices can be similar enough by the sizes of their sets (exact:
+    no intersection exceeds the smaller one) and by their signatures."""
+    sizes = F.col(f"n_{a}"), F.col(f"n_{b}")
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_distance(F.col(f"sig_{a}"), F.col(f"sig_{b}"), s.slots) <= s.prune)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
     a = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
@@ -159,27 +166,43 @@ def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
-    """The confirmed links of a tile between components, as a forest: (u, v) with v
-    the smallest vertex that u reaches inside the tile."""
-    first, second = rows[rows["mine"] == key[1]], rows[rows["mine"] == key[2]]
-    none = pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
+def _sides(key: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    return rows[rows["mine"] == key[1]], rows[rows["mine"] == key[2]]
+
+
+def _asked(first: pd.DataFrame, second: pd.DataFrame, s: Scheme, percent: int) -> np.ndarray:
+    """Which pairs of a tile lie in different components and may link."""
     a, b = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), s.slots) for x in (first, second))
     equal = np.zeros((len(a), len(b)), np.uint8)
     for k in range(s.slots):
         equal += a[:, k, None] == b[None, :, k]
-    ask = (s.slots - equal <= s.prune) & (first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :])
-    r, c = np.flatnonzero(ask.any(1)), np.flatnonzero(ask.any(0))
-    if not len(r):
+    m, n = first["n"].to_numpy()[:, None], second["n"].to_numpy()[None, :]
+    sizes = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+    return sizes & (s.slots - equal <= s.prune) & (first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :])
+
+
+def _ask_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
+    """The vertices of a tile whose sets are asked for."""
+    first, second = _sides(key, rows)
+    ask = _asked(first, second, s, percent)
+    some = pd.concat([first[ask.any(1)], second[ask.any(0)]]).drop_duplicates("id")
+    return some.assign(cluster=key[0], i=key[1], j=key[2])[["cluster", "i", "j", "mine", "id", "comp", "n", "sig"]]
+
+
+def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
+    """The confirmed links of a tile between components, as a forest: (u, v) with v
+    the smallest vertex that u reaches inside the tile."""
+    left, right = _sides(key, rows)
+    none = pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
+    if not len(left) or not len(right):
         return none
-    left, right = first.iloc[r], second.iloc[c]
     sets = [[np.asarray(x, np.int64) for x in side["shingles"]] for side in (left, right)]
     common = _common(*sets)
     sizes = [np.array([len(x) for x in side]) for side in sets]
-    near = ask[np.ix_(r, c)] & (100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common))
+    near = _asked(left, right, s, percent) & (100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common))
     ids, place = np.unique(np.concatenate([left["id"], right["id"]]), return_inverse=True)
     u, v = np.nonzero(near)
-    u, v = place[u], place[len(r) + v]
+    u, v = place[u], place[len(left) + v]
     least = np.arange(len(ids))
     while True:
         new = least.copy()
@@ -193,25 +216,32 @@ def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd
     return pd.DataFrame({"u": ids[hang], "v": ids[least[hang]]})
 
 
-def _hot_links(hot: DataFrame, sigs: DataFrame, sets: DataFrame, s: Scheme, percent: int, work: Workspace) -> DataFrame:
+def _hot_links(hot: DataFrame, sigs: DataFrame, sets_of, s: Scheme, percent: int, work: Workspace) -> DataFrame:
     """Links among the vertices of keys that very many vertices share.
 
     Vertices that such keys connect form a cluster; a cluster is dealt into blocks
-    and each pair of blocks is a tile, in which pairs within the pruning distance
-    are confirmed at once on their sets. A set moves once for each block of its
-    cluster, not for each key, and no list of pairs is ever written.
+    and each pair of blocks is a tile. Signatures alone move to the tiles first;
+    the sets of the vertices that have a possible partner there follow and are
+    compared at once. No list of pairs is ever written.
     """
     clusters = connected_components(hot.select(F.col("id").alias("u"), F.col("pivot").alias("v")), work).withColumnRenamed("component", "cluster")
     inside = hot.select("id", "comp").distinct().join(clusters, "id")
     blocks = inside.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
     dealt = inside.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(sigs, "id").join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "comp", "sig", "shingles")
+    dealt = dealt.join(among(sigs, inside.select("id")), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "comp", "n", "sig")
+
+    def ask(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _ask_tile(key, rows, s, percent)
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def confirm(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return _confirm_tile(key, rows, s, percent)
 
-    return dealt.groupBy("cluster", "i", "j").applyInPandas(run, "u long, v long")
+    asked = work.write(dealt.groupBy("cluster", "i", "j").applyInPandas(ask, dealt.schema), "asked")
+    sets = sets_of(asked.select("id"))
+    links = work.write(asked.join(sets, "id").groupBy("cluster", "i", "j").applyInPandas(confirm, "u long, v long"), "links")
+    work.drop(asked, sets)
+    return links
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -223,7 +253,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     work = Workspace(df.sparkSession, "minhash")
     s = scheme(percent / 100)
     rows = work.write(sketch(df, key, text, words, s.slots), "sketch")
-    classes = work.write(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_hash").agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+    classes = work.write(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_hash").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
     found = _components(df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), rows, classes, s, words, percent, work)
     named = classes.select("set_hash", "id").join(found, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     out = rows.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
@@ -248,7 +278,7 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """The full sets of some vertices, read from their texts."""
-        sets = docs.join(ids.distinct(), "id", "left_semi").mapInArrow(to_sets, "id long, shingles array<long>")
+        sets = among(docs, ids).mapInArrow(to_sets, "id long, shingles array<long>")
         return work.write(sets.distinct() if repeated else sets, "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -258,11 +288,12 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
         return links
 
     # Each vertex against the pivot with which it shares most keys.
-    sigs = classes.select("id", "sig")
+    sigs = classes.select("id", "n", "sig")
+    side = lambda c: sigs.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
     votes = members.where("id != pivot").groupBy("id", "pivot").count()
     best = votes.groupBy("id").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("v")).withColumnRenamed("id", "u")
-    best = best.join(sigs.select(F.col("id").alias("u"), F.col("sig").alias("sig_u")), "u").join(sigs.select(F.col("id").alias("v"), F.col("sig").alias("sig_v")), "v")
-    star = work.write(best.where(_distance(F.col("sig_u"), F.col("sig_v"), s.slots) <= s.prune).select("u", "v"), "star")
+    best = best.join(side("u"), "u").join(side("v"), "v")
+    star = work.write(best.where(_may_link("u", "v", s, percent)).select("u", "v"), "star")
     links = confirmed(star)
     found = connected_components(links, work)
 
@@ -278,16 +309,14 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
     left = open_keys(found)
     hot = left.where(f"n > {SMALL}")
     if hot.limit(1).count():
-        sets = sets_of(hot.select("id"))
-        more = work.write(_hot_links(hot, sigs, sets, s, percent, work), "links")
-        work.drop(sets, left)
+        more = _hot_links(hot, sigs, sets_of, s, percent, work)
+        work.drop(left)
         links = work.write(links.unionByName(more), "links")
         found = connected_components(links, work)
         left = open_keys(found)
-    few = left.where(f"n <= {SMALL}").join(sigs, "id")
-    a, b = (few.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "sig"))) for x in "ab")
-    distance = _distance(F.col("sig_a"), F.col("sig_b"), s.slots)
-    met = a.join(b, (a["key"] == b["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & (distance <= s.prune))
+    few = left.where(f"n <= {SMALL}").select("key", "id", "comp").join(sigs, "id")
+    a, b = (few.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "sig"))) for x in "ab")
+    met = a.join(b, (a["key"] == b["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & _may_link("a", "b", s, percent))
     pairs = work.write(met.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct(), "pairs")
     more = confirmed(pairs)
     return connected_components(links.unionByName(more), work) if more.limit(1).count() else found
