@@ -11,8 +11,9 @@ the address that Spark's own listing gives.
 
 Defined results: two separators in a row end an empty document; tokens after a
 file's last separator are a document that is not ended; an empty file has none; a
-null text is written as an empty document; a file whose size is no multiple of the
-id's width fails the scan.
+null text is written as an empty document, a repeated row once more; an empty table
+makes an empty folder, which holds no documents; a file whose size is no multiple of
+the id's width fails the scan.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .columns import quoted
+from .storage import Workspace, make_dir
 from .word_bpe import encoder
 
-#: Ids in a block.
-BLOCK = 1 << 20
+#: Ids in a block; blocks in a run of the prefix scan.
+BLOCK, RUN = 1 << 20, 1 << 12
 
 
 def _open(path: str):
@@ -47,6 +50,7 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, dt
     A task writes under a name of its own and renames at its end, so a repeated
     task leaves the same file.
     """
+    make_dir(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -67,7 +71,7 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, dt
             out.close()
             store.move(temporary, f"{folder}/{name}")
 
-    return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "file string, ordinal long, doc_id long")
+    return df.select(quoted(key).cast("long").alias("doc_id"), quoted(text).alias("text")).mapInArrow(run, "file string, ordinal long, doc_id long")
 
 
 def scan_block(ids: np.ndarray, end_id: int) -> tuple[int, int, list[int]]:
@@ -80,8 +84,14 @@ def scan_block(ids: np.ndarray, end_id: int) -> tuple[int, int, list[int]]:
 
 
 def count_tokens(spark: SparkSession, path: str, end_id: int, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
-    """(file, ordinal, n_tokens, ended) of each document in the token files of ``path``."""
+    """(file, ordinal, n_tokens, ended) of each document in the token files of ``path``.
+
+    What a block has inside is written beside its few summary numbers. The prefix
+    scan reads the summaries alone, over runs of ``RUN`` blocks first and then inside
+    each run, so that one endless file is neither one task nor one sort.
+    """
     width = np.dtype(dtype).itemsize
+    work = Workspace(spark, "blocks")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).select("path", "length").where("length > 0")
     blocks = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / (block * width)))))
 
@@ -102,16 +112,19 @@ def count_tokens(spark: SparkSession, path: str, end_id: int, dtype: str = "<u2"
                 )
 
     spread = blocks.repartition("path", "block")
-    seen = spread.mapInArrow(run, "path string, block long, n long, head long, tail long, ends long, inner array<long>, last boolean")
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    scanned = (
-        seen.withColumn("begin", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("ordinal", F.coalesce(F.sum("ends").over(before), F.lit(0)))
-        .withColumn("open_from", F.coalesce(F.max(F.when(F.col("ends") > 0, F.col("block") * block + F.col("n") - F.col("tail"))).over(before), F.lit(0)))
-    )
-    carried = F.col("begin") - F.col("open_from")
-    lengths = F.when(F.col("ends") > 0, F.concat(F.array(carried + F.col("head")), F.col("inner"))).otherwise(F.array().cast("array<long>"))
-    rest = F.when(F.col("ends") > 0, F.col("tail")).otherwise(carried + F.col("n"))
+    seen = work.write(spread.mapInArrow(run, "path string, block long, n long, head long, tail long, ends long, inner array<long>, last boolean"), "seen")
+    light = seen.select("path", "block", F.floor(F.col("block") / RUN).alias("run"), "n", "ends", F.when(F.col("ends") > 0, F.col("block") * block + F.col("n") - F.col("tail")).alias("open_from"))
+    before = Window.partitionBy("path").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("path", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"n": F.sum, "ends": F.sum, "open_from": F.max}
+    runs = light.groupBy("path", "run").agg(*(f(c).alias(c) for c, f in sums.items())).select("path", "run", *(f(c).over(before).alias(f"run_{c}") for c, f in sums.items()))
+    scanned = light.select("path", "run", "block", *(f(c).over(inside).alias(f"in_{c}") for c, f in sums.items())).join(runs, ["path", "run"])
+    total = lambda c: F.coalesce(f"run_{c}", F.lit(0)) + F.coalesce(f"in_{c}", F.lit(0))
+    placed = scanned.select("path", "block", total("ends").alias("ordinal"), (total("n") - F.coalesce("in_open_from", "run_open_from", F.lit(0))).alias("carried"))
+    # A merge join by hint: the lists pack so well that their size on disk says little.
+    both = seen.hint("merge").join(placed, ["path", "block"])
+    lengths = F.when(F.col("ends") > 0, F.concat(F.array(F.col("carried") + F.col("head")), F.col("inner"))).otherwise(F.array().cast("array<long>"))
+    rest = F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("carried") + F.col("n"))
     left = F.when(F.col("last") & (rest > 0), F.array(rest)).otherwise(F.array().cast("array<long>"))
-    found = scanned.select(F.element_at(F.split("path", "/"), -1).alias("file"), "ordinal", "ends", F.posexplode(F.concat(lengths, left)).alias("k", "n_tokens"))
+    found = both.select(F.element_at(F.split("path", "/"), -1).alias("file"), "ordinal", "ends", F.posexplode(F.concat(lengths, left)).alias("k", "n_tokens"))
     return found.select("file", (F.col("ordinal") + F.col("k")).alias("ordinal"), "n_tokens", (F.col("k") < F.col("ends")).alias("ended"))
