@@ -7,8 +7,9 @@ once as a sparse matrix in compressed rows.
 
 Defined results: a null text, and one without any letter, is ``und`` with score
 0; so is every text if nothing could be learned. Rows with null labels or texts
-teach nothing. Repeated rows are each predicted; ties go to the first language in
-order of its name.
+teach nothing; rows without a key teach like others; rows that repeat key and text
+teach once. Repeated rows are each predicted; ties go to the first language in
+order of its name. An empty table teaches nothing and gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import slices
+from .columns import mapped, quoted
+from .storage import Workspace, slices
 
 UNDETERMINED = "und"
 ORDERS, BUCKET_BITS, SMOOTHING = (1, 2, 3), 14, 0.5
-#: Texts a language teaches at most, and languages learned at most (those with most texts).
-SAMPLE, LANGUAGES = 1_000, 256
-#: Parts in which a language's rows are ranked first.
-SALTS = 64
+#: Texts that a language learns from at most; more languages than this fail ``fit`` (16 MB of matrix).
+SAMPLE, MOST_LANGUAGES = 1_000, 256
 #: Characters handled at once.
 CHARS = 1 << 18
 _ODD = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -128,23 +128,26 @@ class Model:
 
 
 def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", where: Column | None = None, sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` rows a language, those with the smallest hash
-    of ``key``. Only (key, label) is ranked; texts are read for the sample alone,
-    and what comes to the driver is one count a bucket and language."""
-    rows = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.col(label) != UNDETERMINED))
+    """Learn from at most ``sample`` distinct (key, text) a language, those with the
+    smallest hash; a null key is a key like others. What comes to the driver is one
+    count a language, its share's bound, and one count a bucket and language."""
+    rows = df.where(quoted(label).isNotNull() & quoted(text).isNotNull() & (quoted(label) != UNDETERMINED))
     rows = rows.where(where) if where is not None else rows
-    keys = rows.select(F.col(label).alias("_label"), F.col(key).alias("_key"), F.xxhash64(key).alias("_rank"))
-    keys = keys.withColumn("_salt", F.pmod(F.xxhash64("_rank"), F.lit(SALTS)))
-    # First within salted parts of a language, so that a hot one is not ranked in one task.
-    chosen = keys
-    for part in (["_label", "_salt"], ["_label"]):
-        order = Window.partitionBy(*part).orderBy("_rank", "_key")
-        chosen = chosen.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
-    chosen = chosen.select("_label", "_key")
-    common = [r[0] for r in chosen.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(LANGUAGES).collect()]
-    # At most sample * LANGUAGES keys of 8 bytes, by construction.
-    chosen = F.broadcast(chosen.where(F.col("_label").isin(common)))
-    texts = rows.join(chosen, (F.col(key) == F.col("_key")) & (F.col(label) == F.col("_label")), "left_semi").select(F.col(label).alias("label"), F.col(text).alias("text"))
+    rows = rows.select(quoted(label).alias("label"), F.shiftrightunsigned(F.xxhash64(quoted(key), quoted(text)), 1).alias("h"), quoted(text).alias("text"))
+    sizes = rows.groupBy("label").agg(F.approx_count_distinct("h", 0.02).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: their matrix would not be small enough to broadcast")
+    # A share that holds the sample with certainty for all purposes, whatever a language's size.
+    share = {r["label"]: min(1.0, (2.0 * sample + 100) / max(r["n"], 1)) for r in sizes}
+    work = Workspace(df.sparkSession, "language")
+    if not share:
+        return Model([], np.zeros(((1 << BUCKET_BITS) + 1, 0), np.float32))
+    bound = F.create_map(*(F.lit(x) for lang, part in share.items() for x in (lang, min(int(part * 2.0**63), (1 << 63) - 1))))
+    some = work.write(rows.where(F.col("h") <= bound[F.col("label")]).groupBy("label", "h").agg(F.first("text").alias("text")), "sample")
+    order = Window.partitionBy("label").orderBy("h")
+    last = some.select("label", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).groupBy("label").agg(F.max("h").alias("last"))
+    bound = F.create_map(*(F.lit(x) for r in last.collect() for x in (r["label"], r["last"])))
+    texts = some.where(F.col("h") <= bound[F.col("label")]).select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -159,6 +162,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())], names=["label", "bucket", "n"])
 
     found = texts.mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    work.drop(some)
     languages = sorted(set(found["label"].to_pylist()))
     total = np.full((1 << BUCKET_BITS, len(languages)), SMOOTHING)
     column = {lang: i for i, lang in enumerate(languages)}
@@ -167,17 +171,14 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_
     return Model(languages, np.asfortranarray(np.vstack([log_p, np.zeros((1, len(languages)))]), np.float32))
 
 
-def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    spark, new = df.sparkSession, ("lang_pred", "score")
-    fields = [c for c in df.columns if c not in new]
-    kept = fields if text in fields else [*fields, text]
-    shared = spark.sparkContext.broadcast(model)
+def predict(df: DataFrame, model: Model, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``df`` with the language and its score in the columns ``out``; columns of
+    these names are replaced."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, score = shared.value.predict(batch.column(kept.index(text)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*fields, *new])
+    def run(batches: Iterator) -> Iterator:
+        for (texts,), rest in batches:
+            names, score = shared.value.predict(texts.to_pylist())
+            yield [pa.array(names, pa.string()), pa.array(score, pa.float64())], rest
 
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in fields) + ", lang_pred string, score double"
-    return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema.removeprefix(", "))
+    return mapped(df, [quoted(text)], run, [(out[0], "string"), (out[1], "double")])

@@ -7,7 +7,8 @@ them over the threshold. Every scan takes time linear in the text, also for
 texts that are one endless word or number.
 
 Defined results: a null text counts as empty, an empty text has no spans; a row
-is kept whatever its other columns hold; repeated rows each get their own spans.
+is kept whatever its other columns hold or are named; repeated rows each get their
+own spans; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import mapped, quoted
+
 KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn")
 SPANS_TYPE = "array<struct<kind:string,start:int,end:int,text:string,score:double,base:boolean>>"
@@ -139,22 +142,19 @@ def redacted(text: str | None, found: list[dict]) -> str | None:
 def detect(df: DataFrame, text: str = "text", out: str = "spans", redact_to: str | None = None) -> DataFrame:
     """``df`` with the spans of ``text`` in a new column ``out``, and the redacted
     text in ``redact_to`` if named. Columns of these names are replaced."""
-    new = [c for c in (out, redact_to) if c]
-    kept = [c for c in df.columns if c not in new or c == text]
-    fields = [c for c in kept if c not in new]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in fields] + [f"`{out}` {SPANS_TYPE}"] + ([f"`{redact_to}` string"] if redact_to else []))
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("score", pa.float64()), ("base", pa.bool_())]))
+    new = [(out, SPANS_TYPE)] + ([(redact_to, "string")] if redact_to else [])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index(text)).to_pylist()
+    def run(batches: Iterator) -> Iterator:
+        for (column,), rest in batches:
+            texts = column.to_pylist()
             found = [spans(t) for t in texts]
-            columns = [batch.column(batch.schema.names.index(c)) for c in fields] + [pa.array(found, span_type)]
+            made = [pa.array(found, span_type)]
             if redact_to:
-                columns.append(pa.array([redacted(t, f) for t, f in zip(texts, found, strict=True)], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=fields + new)
+                made.append(pa.array([redacted(t, f) for t, f in zip(texts, found, strict=True)], pa.string()))
+            yield made, rest
 
-    return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)
+    return mapped(df, [quoted(text)], run, new)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
@@ -172,4 +172,5 @@ def digest_columns(found: DataFrame) -> DataFrame:
         *(counted(k) for k in KINDS),
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
     )

@@ -30,8 +30,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from .columns import mapped, quoted
 from .double_array import build
 from .storage import slices
 
@@ -237,41 +237,34 @@ def decode_ids(p: Pieces, ids: list[int] | np.ndarray) -> str:
     return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def _fields(df: DataFrame, out: str) -> tuple[list[str], str]:
-    kept = [c for c in df.columns if c != out]
-    return kept, "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in kept)
-
-
 def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the ids of ``text`` as array<int> in ``out``."""
     shared = df.sparkSession.sparkContext.broadcast(pieces)
-    kept, schema = _fields(df, out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
+    def run(batches: Iterator) -> Iterator:
+        for (column,), rest in batches:
+            texts = column.to_pylist()
             for i, j in slices(texts, [len(t or "") for t in texts], CHARS):
                 ids = encode_texts(shared.value, texts[i:j])
                 ends = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
                 values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<i4"), pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array([x is None for x in ids]))
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(kept)]), lists], names=[*kept, out])
+                yield [lists], [c.slice(i, j - i) for c in rest]
 
-    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"{schema}`{out}` array<int>")
+    return mapped(df, [quoted(text)], run, [(out, "array<int>")])
 
 
 def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids`` in ``out``."""
     shared = df.sparkSession.sparkContext.broadcast(pieces)
-    kept, schema = _fields(df, out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, sizes = batch.column(len(kept)), np.diff(np.asarray(batch.column(len(kept)).offsets))
+    def run(batches: Iterator) -> Iterator:
+        for (lists,), rest in batches:
+            sizes = np.diff(np.asarray(lists.offsets))
             for i, j in slices(range(len(sizes)), sizes.tolist(), IDS):
                 part = lists.slice(i, j - i)
                 flat, ends = part.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *sizes[i:j]]).tolist()
                 texts = [decode_ids(shared.value, flat[a:b]) if ok else None for a, b, ok in zip(ends, ends[1:], part.is_valid().to_pylist(), strict=False)]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(kept)]), pa.array(texts, pa.string())], names=[*kept, out])
+                yield [pa.array(texts, pa.string())], [c.slice(i, j - i) for c in rest]
 
-    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").alias("_ids")).mapInArrow(run, f"{schema}`{out}` string")
+    return mapped(df, [quoted(ids)], run, [(out, "string")])
