@@ -6,9 +6,9 @@ weights); for each term the queries that have it scatter query weight times
 posting weight into dense arrays of scores. A partition selects its best by
 partitioning those arrays, and the partitions' lists are merged.
 
-Queries are broadcast in groups of at most ``QUERIES`` rows (a few MB), with one
-pass over the candidates for each group, so memory stays bounded however many
-queries there are. Nothing is approximate.
+Queries are broadcast in groups of about ``QUERIES`` rows (a few MB), with one
+pass over the candidates for each group, one group after another, so memory stays
+bounded however many queries there are. Nothing is approximate.
 
 Defined results: rows with a null id, a null vector, or a null or non-finite
 component take no part. Missing components of a shorter vector count as 0. All
@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import quoted
+from .storage import Workspace
+
 SCALE = 1024
 #: Queries broadcast at once, candidates in a block, queries scored at once.
 QUERIES, ROWS, TILE = 16_384, 4_096, 128
@@ -84,12 +87,12 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterat
 def search(candidates: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best candidates of each query."""
     spark = candidates.sparkSession
-    plain = lambda df: df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
+    plain = lambda df: df.select(quoted(key).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
     rows, asked = plain(candidates), plain(queries).groupBy("id").agg(F.min("v").alias("v"))
     groups = max(1, -(-asked.count() // QUERIES))
     schema = "query_id long, vec_id long, score long"
 
-    def one(group: int) -> DataFrame:
+    def one(group: int):
         held = asked.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == group).orderBy("id").toArrow() if groups > 1 else asked.orderBy("id").toArrow()
         ids = held["id"].to_numpy()
         shared = spark.sparkContext.broadcast((ids, quantized(held["v"].combine_chunks() if held.num_rows else pa.array([], pa.list_(pa.float64())), scale)))
@@ -113,11 +116,19 @@ def search(candidates: DataFrame, queries: DataFrame, k: int = 10, key: str = "v
             if sum(n):
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, n)), pa.array(np.concatenate(top_ids)), pa.array(np.concatenate(top_scores))], names=["query_id", "vec_id", "score"])
 
-        return rows.mapInArrow(run, schema)
-
-    parts = one(0)
-    for group in range(1, groups):
-        parts = parts.unionByName(one(group))
+        return rows.mapInArrow(run, schema), shared
+
+    # Group after group, so that the driver and the executors hold one group at a time.
+    if groups == 1:
+        parts = one(0)[0]
+    else:
+        work = Workspace(spark, "topk")
+        path = work.fresh("best")
+        for group in range(groups):
+            part, shared = one(group)
+            part.write.parquet(f"{path}/group={group}")
+            shared.destroy()
+        parts = spark.read.schema(schema).parquet(path).select("query_id", "vec_id", "score")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
