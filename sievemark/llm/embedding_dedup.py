@@ -11,14 +11,16 @@ The codebooks are fitted on a bounded sample; every vector is indexed. How many
 cells are visited follows from a target recall, measured on the sample against
 pairs at the threshold.
 
-A cell of very many vectors is dealt into tiles; a tile yields one row a vector
-(links counted, smallest id reachable inside the tile), never its pairs.
+Equal vectors are one vertex with a weight. A cell of very many vertices is dealt
+into tiles; a tile yields one row a vertex (links counted, smallest id reachable
+inside the tile), never its pairs.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components link with nothing, nor do vectors of different lengths with one another
-(only those of the commonest length are indexed together; others each by length).
+(each length has an index of its own, and one with few vectors is a single cell).
 Rows that repeat an id count as one vector, the smallest; a row without id stands
-for itself. An empty table gives an empty result.
+for itself. An empty table gives an empty result. A target recall that ``MOST_CELLS``
+cells a vector cannot reach is an error.
 """
 
 from __future__ import annotations
@@ -31,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import quoted
 from .components import connected_components
-from .storage import Workspace
+from .storage import Workspace, among
 from .topk import usable
 
 #: Vectors that the codebooks are fitted on at most, vectors aimed at in a cell, side of a tile.
 SAMPLE, CELL, TILE = 16_384, 32, 1_024
 MOST_CODES, ROUNDS, MOST_CELLS = 1_024, 12, 64
+#: Up to so many vectors of one length need no index: they are one cell.
+FEW = 1_024
 TARGET_RECALL = 0.995
 
 
@@ -74,9 +79,10 @@ def traverse(d1: np.ndarray, d2: np.ndarray, cells: int) -> np.ndarray:
     return (o1[:, i] * n2 + o2[:, j])[np.arange(len(d1))[:, None], nearest]
 
 
-def cells_for_recall(units: np.ndarray, books: tuple[np.ndarray, np.ndarray], cosine: float, target: float) -> int:
+def cells_for_recall(units: np.ndarray, books: tuple[np.ndarray, np.ndarray], cosine: float, target: float, most: int = MOST_CELLS) -> int:
     """The fewest cells with which vectors and random partners at the threshold
-    cosine have one in common in at least ``target`` of all cases."""
+    cosine have one in common in at least ``target`` of all cases; an error if more
+    than ``most`` are needed."""
     rng = np.random.default_rng(1)
     some = units[rng.permutation(len(units))[:4_096]]
     other = rng.standard_normal(some.shape)
@@ -84,11 +90,14 @@ def cells_for_recall(units: np.ndarray, books: tuple[np.ndarray, np.ndarray], co
     other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-300)
     other = cosine * some + np.sqrt(1 - cosine**2) * other
     half = units.shape[1] // 2
-    a, b = (traverse(_nearest(x[:, :half], books[0]), _nearest(x[:, half:], books[1]), MOST_CELLS) for x in (some, other))
+    a, b = (traverse(_nearest(x[:, :half], books[0]), _nearest(x[:, half:], books[1]), most) for x in (some, other))
     same = a[:, :, None] == b[:, None, :]
-    at = np.where(same, np.maximum(np.arange(a.shape[1])[:, None], np.arange(b.shape[1])[None, :]), MOST_CELLS)
+    at = np.where(same, np.maximum(np.arange(a.shape[1])[:, None], np.arange(b.shape[1])[None, :]), most)
     needed = np.sort(at.reshape(len(some), -1).min(1)) + 1
-    return int(min(MOST_CELLS, needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]))
+    cells = int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
+    if cells > most:
+        raise ValueError(f"{most} cells a vector reach a recall of {(needed <= most).mean():.4f}, not {target}: raise ``most`` or lower ``target``")
+    return cells
 
 
 def _units(vectors: pa.Array) -> np.ndarray:
@@ -121,7 +130,7 @@ def _meet(key: tuple, rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     row, col = np.nonzero(filed < cell)
     earlier[row, at[row, col]] = 1
     linked &= (earlier @ earlier.T) == 0
-    links = linked.sum(1)
+    links = linked.astype(np.int64) @ rows["n"].to_numpy()[some]
     least = np.arange(len(ids))
     while True:
         near = np.where(linked, least[None, :], len(ids)).min(1)
@@ -138,26 +147,60 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     """(id, n_links, component_id, kept) of each vector of ``df``."""
     spark = df.sparkSession
     work = Workspace(spark, "embeddings")
-    named = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
+    named = df.select(quoted(key).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("v"))
     known = named.where("id IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
-    rows = work.write(known.unionByName(named.where("id IS NULL")), "vectors")
-    good = rows.where(F.col("id").isNotNull() & usable(F.col("v")) & F.exists("v", lambda x: x != 0)).withColumn("width", F.size("v"))
-    parts = [_links(good.where(F.col("width") == r["width"]), r["width"], r["count"], cosine, target, work) for r in good.groupBy("width").count().collect()]
-    if not parts:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    rows = work.write(known.unionByName(named.where("id IS NULL")).withColumn("h", F.xxhash64("v")), "vectors")
+    good = rows.where(F.col("id").isNotNull() & usable(F.col("v")) & F.exists("v", lambda x: x != 0))
+    # Equal vectors are one vertex of some weight: they link with one another, and alike with others.
+    classes = work.write(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")).select("id", "n", "v", F.size("v").alias("width")), "classes")
+    same = classes.where("n > 1").select("v", F.xxhash64("v").alias("h"), F.col("id").alias("rep"))
+    copies = among(good, same.select("h"), "h").join(same, ["h", "v"]).select("id", "rep")
+    widths = classes.groupBy("width").count()
+    parts = [_meet_all(_one_cell(classes.join(widths.where(f"count BETWEEN 2 AND {FEW}"), "width")), cosine)]
+    for r in widths.where(f"count > {FEW}").collect():
+        filed = _filed(classes.where(F.col("width") == r["width"]), r["width"], r["count"], cosine, target, work)
+        parts.append(_meet_all(filed, cosine))
     met = parts[0]
     for part in parts[1:]:
         met = met.unionByName(part)
     met = work.write(met, "met")
-    found = connected_components(met.select(F.col("id").alias("u"), F.col("least").alias("v")), work)
-    counts = met.groupBy("id").agg(F.sum("links").alias("n_links"))
-    out = rows.select("id").join(counts, "id", "left").join(found, "id", "left")
-    component = F.coalesce("component", "id")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
+    found = connected_components(met.select(F.col("id").alias("u"), F.col("least").alias("v")), work).withColumnRenamed("id", "rep")
+    counts = met.groupBy("id").agg(F.sum("links").alias("n_links")).withColumnRenamed("id", "rep")
+    weights = classes.select(F.col("id").alias("rep"), "n")
+    out = rows.select("id").join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+    out = out.join(counts, "rep", "left").join(found, "rep", "left").join(weights.where("n > 1"), "rep", "left")
+    component = F.coalesce("component", "rep")
+    n_links = F.coalesce("n_links", F.lit(0)) + F.coalesce(F.col("n") - 1, F.lit(0))
+    return out.select("id", n_links.cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _links(rows: DataFrame, width: int, count: int, cosine: float, target: float, work: Workspace) -> DataFrame:
-    """(id, links, least) rows of all tiles, of the vectors of one length."""
+def _one_cell(rows: DataFrame) -> DataFrame:
+    """Few vectors of a length, all filed in one cell."""
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = np.zeros(1, np.int64).tobytes()
+        for batch in batches:
+            units = [_units(batch.column(3).slice(i, 1))[0].tobytes() for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(units, pa.binary()), pa.array([cell] * len(units), pa.binary()), pa.array([0] * len(units), pa.int64()), pa.array([1] * len(units), pa.int64())], names=["id", "n", "width", "unit", "cells", "cell", "count"])
+
+    return rows.select("id", "n", "width", "v").mapInArrow(file, "id long, n long, width int, unit binary, cells binary, cell long, count long")
+
+
+def _meet_all(each: DataFrame, cosine: float) -> DataFrame:
+    """(id, links, least) rows of all tiles of (id, n, width, unit, cells, cell, count)."""
+    each = each.withColumn("blocks", F.ceil(F.col("count") / TILE).cast("int"))
+    each = each.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _meet(key, rows, cosine)
+
+    each = each.select("width", "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "n", "unit", "cells")
+    return each.groupBy("width", "cell", "i", "j").applyInPandas(meet, "id long, links long, least long")
+
+
+def _filed(rows: DataFrame, width: int, count: int, cosine: float, target: float, work: Workspace) -> DataFrame:
+    """The vectors of one length, in each of their cells that is not theirs alone."""
     spark = rows.sparkSession
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
     units = _units(sample)
@@ -174,18 +217,9 @@ def _links(rows: DataFrame, width: int, count: int, cosine: float, target: float
                 part = batch.slice(at, 2_048)
                 x = _units(part.column(1))
                 got = np.sort(traverse(_nearest(x[:, :cut], first), _nearest(x[:, cut:], second), visits), axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in got], pa.binary()), pa.array(list(got), pa.list_(pa.int64()))], names=["id", "unit", "cells", "each"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in got], pa.binary()), pa.array(list(got), pa.list_(pa.int64()))], names=["id", "n", "unit", "cells", "each"])
 
-    filed = work.write(rows.select("id", "v").mapInArrow(file, "id long, unit binary, cells binary, each array<long>"), "filed")
+    filed = work.write(rows.select("id", "v", "n").mapInArrow(file, "id long, n long, unit binary, cells binary, each array<long>"), "filed")
     places = filed.select("id", F.explode("each").alias("cell"))
     large = work.write(places.groupBy("cell").count().where("count > 1"), "cells")
-    each = filed.select("id", "unit", "cells", F.explode("each").alias("cell")).join(large, "cell")
-    blocks = F.ceil(F.col("count") / TILE).cast("int")
-    each = each.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-
-    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _meet(key, rows, cosine)
-
-    each = each.select(F.lit(width).alias("width"), "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "unit", "cells")
-    return each.groupBy("width", "cell", "i", "j").applyInPandas(meet, "id long, links long, least long")
+    return filed.select("id", "n", F.lit(width).alias("width"), "unit", "cells", F.explode("each").alias("cell")).join(large, "cell").select("id", "n", "width", "unit", "cells", "cell", "count")
