@@ -5,34 +5,38 @@ those are 5-word shingles. Templates of like length form a class; for each class
 the text is cut into overlapping windows of one and a half times that length. A
 window's MinHash is of one permutation: the range of hashes is cut into ``BANDS``
 equal bands, and the smallest hash in each band is that band's value. A window and
-a template of its class with one band value in common meet. What a template that is
-whole in a window, or to four fifths, is missed with is bounded by ``miss``. A template
-of one shingle has no bands: every hash of the text is looked up. Where a set of
-templates has one, as ``TEMPLATES`` does, that lookup serves all of them, nothing is
-missed, and no band is computed. Where they meet, the template's shingles are counted
-exactly in each window of the text, and those with ``CONTAINED`` of them are matches.
-
-Templates are literals of the plan, so their number is checked.
-
-Defined results: a null or empty text matches nothing, and so does a template of
-fewer than five words (which is refused). Repeated rows each have their matches;
-ties between templates are all reported, in order of their names. Columns of the
-input pass through, but for ``matches``, which is replaced.
+a template of its class with one band value in common meet. Then the template's
+shingles are counted exactly in each window of the text, and those with ``CONTAINED`` of them are matches. What a template that is
+whole in a window, or to four fifths, is missed with is bounded by ``miss``. The
+window of a template of one shingle is one shingle, which is its only band value.
+
+Texts that share no shingle with any template are left out before any window is cut;
+they can match nothing.
+
+Templates are constants of the plan, so their number is checked.
+
+Defined results: a null or empty text matches nothing; a template of fewer than five
+words is refused. Repeated rows each have their matches; ties between templates are
+all reported, in order of their names; an empty table gives an empty result. Columns
+of the input pass through, whatever their names, but for ``matches``, which is replaced.
 """
 
 from __future__ import annotations
 
-from math import comb
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import fresh, quoted
+from .license_texts import WHOLE
+
 WORDS, CONTAINED, BANDS = 5, 0.8, 32
 _BAND_SHIFT = 59  # 64 bits less the 5 of a band's number
-#: Band values that the templates may have together.
-MOST_VALUES = 50_000
+#: Shingles that the templates may have together: they are constants of the plan.
+MOST_SHINGLES = 50_000
 
-#: Short notices and first sentences of public licenses. A notice
+#: Short notices and first sentences of public licenses, and the whole text of short ones. A notice
 #: of up to four shingles matches only whole, so that versions and variants differ.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
@@ -63,6 +67,7 @@ TEMPLATES = {
 for _short, _full in {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}.items():
     TEMPLATES[f"cc-{_short.lower()}-4.0-notice"] = f"Licensed under CC {_short} 4.0."
     TEMPLATES[f"cc-{_short.lower()}-4.0-name"] = f"Creative Commons {_full} 4.0 International"
+TEMPLATES |= WHOLE
 
 
 def words(text: Column) -> Column:
@@ -105,20 +110,25 @@ def band_values(hashes: Column, width: int, step: int) -> Column:
 
 
 def miss(size: int, contained: float = CONTAINED) -> float:
-    """A bound on the chance that a template of ``size`` shingles, of which a share
-    ``contained`` is in a window, has no band value in common with it: all bands
-    that hold shared shingles hold others too."""
+    """The chance that a template of ``size`` shingles, of which a share ``contained``
+    is in a window, has no band value in common with it, if hashes are random.
+
+    Window and template agree in a band if the smallest of all their hashes there is a
+    shared one. Which shingles are smallest in the k bands that hold any is then a
+    random choice of k, and how many bands hold any follows from dealing them one by one.
+    """
     width, _ = windows(size)
     if width == 1:
         return 0.0
     shared = max(1, -int(-contained * size // 1))
-    others = width + size - 2 * shared
-    lost = 0.0
-    for b in range(1, min(BANDS, shared) + 1):  # bands that hold shared shingles
-        # surjections of the shared shingles onto b bands, over all ways to deal them
-        onto = sum((-1) ** k * comb(b, k) * (b - k) ** shared for k in range(b + 1))
-        covered = 1 - (1 - 1 / BANDS) ** others
-        lost += comb(BANDS, b) * onto / BANDS**shared * covered**b
+    every = width + size - shared
+    filled = [1.0] + [0.0] * BANDS
+    for _ in range(every):
+        filled = [filled[k] * k / BANDS + (filled[k - 1] * (BANDS - k + 1) / BANDS if k else 0.0) for k in range(BANDS + 1)]
+    lost, none_shared = 0.0, 1.0
+    for k in range(1, min(BANDS, every) + 1):
+        none_shared *= max(0, every - shared - k + 1) / (every - k + 1)
+        lost += filled[k] * none_shared
     return lost
 
 
@@ -143,14 +153,15 @@ def prepared(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
         values = {}
         for x in sorted(r["shingles"], reverse=True):
             values[(x % (1 << 64)) >> _BAND_SHIFT] = x
-        out.append({"name": r["name"], "size": size, "shingles": list(r["shingles"]), "values": list(r["shingles"]) if windows(size)[0] == 1 else list(values.values())})
-    if sum(len(t["values"]) for t in out) > MOST_VALUES:
-        raise ValueError(f"the templates have more than {MOST_VALUES} band values")
+        out.append({"name": r["name"], "size": size, "shingles": list(r["shingles"]), "bands": list(r["shingles"]) if windows(size)[0] == 1 else list(values.values())})
+    if sum(len(t["shingles"]) for t in out) > MOST_SHINGLES:
+        raise ValueError(f"the templates have more than {MOST_SHINGLES} shingles")
     return out
 
 
-def _longs(values: list[int]) -> Column:
-    return F.array(*map(F.lit, values)).cast("array<long>")
+def _literal(value: list, kind: str) -> Column:
+    """A constant of the plan, folded once, so that the plan does not grow with the templates."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "text") -> DataFrame:
@@ -158,27 +169,28 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "te
     one for each template that is contained, at its best window."""
     known = prepared(df.sparkSession, templates or TEMPLATES)
     sizes = sorted({t["size"] for t in known})
-    kept = [c for c in df.columns if c != "matches"]
-    # A Python-free plan of two steps: hash the text once, then look at its windows.
-    hashed = df.select(*(F.col(f"`{c}`") for c in kept), shingle_hashes(F.col(f"`{text}`")).alias("_hashes"))
-    # All hashes are looked up for templates of one shingle: then the others are, too.
-    exact = windows(sizes[0])[0] == 1
-    keys = "shingles" if exact else "values"
-    by_class = [0] if exact else sizes
-    for n in by_class:
-        values = F.col("_hashes") if exact else band_values(F.col("_hashes"), *windows(n))
-        asked = sorted({v for t in known if exact or t["size"] == n for v in t[keys]})
-        hashed = hashed.withColumn(f"_met{n}", F.array_intersect(values, _longs(asked)))
-
-    def best(t: dict) -> Column:
-        width, step = windows(t["size"])
-        share = lambda w: F.size(F.array_intersect(w, _longs(t["shingles"]))) / F.lit(float(len(t["shingles"])))
-        each = F.transform(_cut(F.col("_hashes"), width, step), lambda w, i: F.struct(share(w).alias("containment"), (-i * step).alias("place")))
-        top = F.array_max(each)
-        match = F.struct(F.lit(t["name"]).alias("license"), (-top["place"]).cast("int").alias("first_word"), top["containment"].alias("containment"))
-        return F.when(F.arrays_overlap(F.col(f"_met{0 if exact else t['size']}"), _longs(t[keys])), match)
-
-    found = F.filter(F.array(*(best(t) for t in known)), lambda m: m.isNotNull() & (m["containment"] >= CONTAINED))
+    kept = [quoted(c) for c in df.columns if c.lower() != "matches"]
+    hashes, shares, *met = fresh(df, "hashes", "shares", *(f"met{n}" for n in sizes))
+    asked = _literal(sorted({x for t in known for x in t["shingles"]}), "array<bigint>")
+    # Hash the text once; look at the windows of those that share a shingle with any template.
+    hashed = df.select(*kept, shingle_hashes(quoted(text)).alias(hashes)).withColumn(shares, F.arrays_overlap(hashes, asked))
+    for n, name in zip(sizes, met, strict=True):
+        values = _literal(sorted({v for t in known if t["size"] == n for v in t["bands"]}), "array<bigint>")
+        hashed = hashed.withColumn(name, F.when(F.col(shares), F.array_intersect(band_values(F.col(hashes), *windows(n)), values)))
+
+    def matches(n: int, name: str) -> Column:
+        """The templates of a class that meet, each at its best window."""
+        width, step = windows(n)
+        own = _literal([{k: t[k] for k in ("name", "shingles", "bands")} for t in known if t["size"] == n], "array<struct<name:string,shingles:array<bigint>,bands:array<bigint>>>")
+
+        def best(t: Column) -> Column:
+            share = lambda w: F.size(F.array_intersect(w, t["shingles"])) / F.size(t["shingles"]).cast("double")
+            top = F.array_max(F.transform(_cut(F.col(hashes), width, step), lambda w, i: F.struct(share(w).alias("containment"), (-i * step).alias("place"))))
+            return F.struct(t["name"].alias("license"), (-top["place"]).cast("int").alias("first_word"), top["containment"].alias("containment"))
+
+        meet = F.filter(own, lambda t: F.arrays_overlap(F.col(name), t["bands"]))
+        return F.when(F.size(name) > 0, F.filter(F.transform(meet, best), lambda m: m["containment"] >= CONTAINED))
+
     none = F.array().cast("array<struct<license:string,first_word:int,containment:double>>")
-    any_met = F.greatest(F.lit(0), *(F.size(f"_met{n}") for n in by_class)) > 0
-    return hashed.select(*(F.col(f"`{c}`") for c in kept), F.when(any_met, found).otherwise(none).alias("matches"))
+    found = F.sort_array(F.concat(*(F.coalesce(matches(n, name), none) for n, name in zip(sizes, met, strict=True))))
+    return hashed.select(*kept, F.when(F.col(shares), found).otherwise(none).alias("matches"))
