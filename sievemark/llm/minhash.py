@@ -9,7 +9,14 @@ places that may be wrong, with those left out: one key each, and all pairs withi
 the radius share a key. ``scheme`` picks chunks so long that a pair of texts at the
 similarity asked for shares no key with a probability below 2e-6.
 
-Pairs that share a key are confirmed on the full shingle sets (64-bit hashes).
+So signatures at a distance of at most ``Scheme.radius`` always meet; those of a
+distance between it and ``Scheme.prune`` are compared if they meet, which a pair of
+texts at the threshold fails to with the probability named. Signature places are left
+out rather than flipped: an error changes a place's 16 bits at random, and to flip
+them one would need 65,535 keys where one key without the place serves.
+
+Pairs that share a key, whose sets are of like size and whose signatures are near
+are confirmed on the full shingle sets (64-bit hashes).
 Texts with equal sets are one vertex. Each vertex is first held against the pivot
 with which it shares most keys; only vertices of different components go on. Those
 of keys that many share are compared in tiles of bounded size, which yield a
