@@ -37,3 +37,23 @@ def cover(gt: tuple[Column, ...], det: tuple[Column, ...]) -> Column:
     """Share of ``gt`` under ``det``, 0 for an empty box."""
     area = gt[2] * gt[3]
     return F.when(area > 0, intersection(gt, det) / area).otherwise(0.0)
+
+
+def union_area(boxes: Column) -> Column:
+    """Area under the union of array<struct<y0,y1,x0,x1>>: in each slab between two
+    neighbouring x edges, the merged length of the y intervals that span it. Of n boxes
+    it takes n * n steps, and stays in one row."""
+    by_y = F.array_sort(boxes)
+    edges = F.array_sort(F.array_distinct(F.concat(F.transform(boxes, lambda b: b["x0"]), F.transform(boxes, lambda b: b["x1"]))))
+    slabs = F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(float("-inf")).alias("top"))
+
+    def merge(acc: Column, b: Column) -> Column:
+        more = F.greatest(F.lit(0.0), b["y1"] - F.greatest(b["y0"], acc["top"]))
+        return F.struct((acc["sum"] + more).alias("sum"), F.greatest(acc["top"], b["y1"]).alias("top"))
+
+    def height(slab: Column) -> Column:
+        spanning = F.filter(by_y, lambda b: (b["x0"] <= slab["lo"]) & (b["x1"] >= slab["hi"]))
+        return F.aggregate(spanning, start, merge, lambda acc: acc["sum"])
+
+    return F.aggregate(slabs, F.lit(0.0), lambda acc, slab: acc + (slab["hi"] - slab["lo"]) * height(slab))

@@ -7,10 +7,16 @@ in one task only.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box_iou, cover, interval_iou, overlap
+from ..functions.geometry import box_iou, cover, intersection, interval_iou, overlap, union_area
+
+_TOKEN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str, bin_width: int, how: str = "inner") -> DataFrame:
@@ -34,13 +40,26 @@ def iou_matches(candidates: DataFrame, truth: DataFrame, key: str, bin_width: in
     return candidates.join(hit, [key, "l_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
+@lru_cache(1)
+def _token_spans():
+    """Made on first use: a worker that imports this module has no session."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        found, ends = [], [0]
+        for text in texts.to_pylist():
+            found += _TOKEN.finditer(text or "")
+            ends.append(len(found))
+        at = [pa.array([f(m) for m in found], kind) for f, kind in ((re.Match.group, pa.string()), (re.Match.start, pa.int32()), (re.Match.end, pa.int32()))]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(at, ["token", "start", "end"]), mask=texts.is_null())
+
+    return F.arrow_udf(run, "array<struct<token:string,start:int,end:int>>")
+
+
 def token_spans(text: Column) -> Column:
-    """White-space tokens of a text with their offsets: array<struct<token,start,end>>."""
-    parts = F.split(text, r"[ \t\n\r\x0b\x0c]", -1)
-    # A running offset over the parts; empty parts are white space next to white space.
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<token:string,start:int,end:int>>").alias("out"))
-    step = lambda acc, p: F.struct((acc["pos"] + F.length(p) + 1).alias("pos"), F.when(F.length(p) > 0, F.array_append(acc["out"], F.struct(p.alias("token"), acc["pos"].alias("start"), (acc["pos"] + F.length(p)).alias("end")))).otherwise(acc["out"]).alias("out"))
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    """White-space tokens of a text with their offsets: array<struct<token,start,end>>.
+    One Arrow pass, in time linear in the text: no built-in function gives the places of
+    all matches of a pattern, and running sums over an array copy it at every step."""
+    return _token_spans()(text)
 
 
 def covered_tokens(tokens: Column, detections: Column) -> Column:
@@ -48,49 +67,65 @@ def covered_tokens(tokens: Column, detections: Column) -> Column:
     return F.size(F.filter(tokens, lambda t: F.exists(detections, lambda d: (t["start"] < d["end"]) & (d["start"] < t["end"]))))
 
 
-def best_cover(occurrences: DataFrame, hits: DataFrame) -> DataFrame:
-    """(page, occ_id, cover, category, hit_id, iou) of the hit that covers most of
-    each occurrence; equal ones go to the earlier hit, none gives nulls.
+def box_pairs(occurrences: DataFrame, hits: DataFrame, key: list[str], cell: float) -> DataFrame:
+    """Pairs of occurrences (key, occ_id, gx, gy, gw, gh) and hits (key, hit_id, hx, hy,
+    hw, hh) with a common area, with ``cover`` and ``iou``. Both are put into the grid
+    cells that they touch; a pair counts in the cell in which its common part begins,
+    so that a crowded page is not one group. ``cell``: about the size of a box."""
+
+    def gridded(df: DataFrame, c: str) -> DataFrame:
+        at = lambda a, n: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor((F.col(a) + F.col(n)) / cell)))
+        return df.where(f"{c}w > 0 AND {c}h > 0").withColumn("_cx", at(f"{c}x", f"{c}w")).withColumn("_cy", at(f"{c}y", f"{c}h"))
 
-    ``occurrences``: page, occ_id, gx, gy, gw, gh; ``hits``: page, hit_id,
-    category, hx, hy, hw, hh.
-    """
     gt, det = tuple(F.col(f"g{c}") for c in "xywh"), tuple(F.col(f"h{c}") for c in "xywh")
-    met = occurrences.join(hits, "page").withColumns({"cover": cover(gt, det), "iou": box_iou(gt, det)}).where("cover > 0")
-    best = met.groupBy("page", "occ_id").agg(F.max_by(F.struct("cover", "category", "hit_id", "iou"), F.struct(F.col("cover"), -F.col("hit_id"))).alias("b"))
-    return occurrences.select("page", "occ_id").join(best, ["page", "occ_id"], "left").select("page", "occ_id", F.coalesce("b.cover", F.lit(0.0)).alias("cover"), "b.category", "b.hit_id", "b.iou")
-
-
-def union_cover(occurrences: DataFrame, hits: DataFrame) -> DataFrame:
-    """(page, occ_id, category, n_hits, cover): the share of each occurrence under
-    the union of a category's hits, by coordinate compression. Of each occurrence
-    and category only its own hits' edges are crossed with one another."""
-    gx1, gy1 = F.col("gx") + F.col("gw"), F.col("gy") + F.col("gh")
-    met = occurrences.join(hits, "page")
-    clipped = met.select("page", "occ_id", "category", (F.col("gw") * F.col("gh")).alias("area"), F.greatest("gx", "hx").alias("x0"), F.greatest("gy", "hy").alias("y0"), F.least(gx1, F.col("hx") + F.col("hw")).alias("x1"), F.least(gy1, F.col("hy") + F.col("hh")).alias("y1")).where("x1 > x0 AND y1 > y0 AND area > 0")
-    boxes = clipped.groupBy("page", "occ_id", "category", "area").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("boxes"))
-    edges = lambda a, b: F.array_sort(F.array_distinct(F.concat(F.transform("boxes", lambda r: r[a]), F.transform("boxes", lambda r: r[b]))))
-    gaps = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.struct(a.alias("lo"), b.alias("hi")))
-    cells = boxes.withColumn("xs", edges("x0", "x1")).withColumn("ys", edges("y0", "y1")).withColumn("x", F.explode(gaps(F.col("xs")))).withColumn("y", F.explode(gaps(F.col("ys"))))
-    mx, my = (F.col("x.lo") + F.col("x.hi")) / 2, (F.col("y.lo") + F.col("y.hi")) / 2
-    inside = F.exists("boxes", lambda r: (r["x0"] <= mx) & (mx <= r["x1"]) & (r["y0"] <= my) & (my <= r["y1"]))
-    size = F.when(inside, (F.col("x.hi") - F.col("x.lo")) * (F.col("y.hi") - F.col("y.lo"))).otherwise(0.0)
-    return cells.groupBy("page", "occ_id", "category").agg(F.first(F.size("boxes")).alias("n_hits"), F.least(F.sum(size) / F.first("area"), F.lit(1.0)).alias("cover"))
-
-
-def credited(single: DataFrame, unions: DataFrame) -> DataFrame:
-    """The union's credit where it is of two hits or more and strictly larger."""
-    better = unions.where("n_hits >= 2").groupBy("page", "occ_id").agg(F.max_by(F.struct("cover", "category"), F.struct("cover", "category")).alias("u"))
-    joined = single.join(better, ["page", "occ_id"], "left")
+    met = gridded(occurrences, "g").join(gridded(hits, "h"), [*key, "_cx", "_cy"])
+    begins = (F.floor(F.greatest("gx", "hx") / cell) == F.col("_cx")) & (F.floor(F.greatest("gy", "hy") / cell) == F.col("_cy"))
+    return met.where(begins & (intersection(gt, det) > 0)).withColumns({"cover": cover(gt, det), "iou": box_iou(gt, det)}).drop("_cx", "_cy")
+
+
+def best_cover(occurrences: DataFrame, hits: DataFrame, key: tuple[str, ...] = ("page",), cell: float = 64.0) -> DataFrame:
+    """(key, occ_id, cover, category, hit_id, iou) of the hit that covers most of each
+    occurrence; equal ones go to the earlier hit, none gives nulls.
+
+    ``occurrences``: key, occ_id, gx, gy, gw, gh; ``hits``: key, hit_id, category, hx,
+    hy, hw, hh.
+    """
+    own = [*key, "occ_id"]
+    best = box_pairs(occurrences, hits, list(key), cell).groupBy(*own).agg(F.max_by(F.struct("cover", "category", "hit_id", "iou"), F.struct(F.col("cover"), -F.col("hit_id"))).alias("b"))
+    return occurrences.select(*own).join(best, own, "left").select(*own, F.coalesce("b.cover", F.lit(0.0)).alias("cover"), "b.category", "b.hit_id", "b.iou")
+
+
+def union_cover(occurrences: DataFrame, hits: DataFrame, key: tuple[str, ...] = ("page",), cell: float = 64.0) -> DataFrame:
+    """(key, occ_id, category, n_hits, first_hit, cover): the share of each occurrence
+    under the union of a category's hits. Of each occurrence and category only the hits
+    that touch it are gathered."""
+    clipped = box_pairs(occurrences, hits, list(key), cell).select(*key, "occ_id", "category", "hit_id", (F.col("gw") * F.col("gh")).alias("area"), clipped_box().alias("box"))
+    boxes = clipped.groupBy(*key, "occ_id", "category").agg(F.first("area").alias("area"), F.min("hit_id").alias("first_hit"), F.collect_list("box").alias("boxes"))
+    return boxes.select(*key, "occ_id", "category", F.size("boxes").alias("n_hits"), "first_hit", F.least(union_area(F.col("boxes")) / F.col("area"), F.lit(1.0)).alias("cover"))
+
+
+def clipped_box() -> Column:
+    """The common part of a pair's boxes."""
+    y0, x0 = F.greatest("gy", "hy"), F.greatest("gx", "hx")
+    y1, x1 = F.least(F.col("gy") + F.col("gh"), F.col("hy") + F.col("hh")), F.least(F.col("gx") + F.col("gw"), F.col("hx") + F.col("hw"))
+    return F.struct(y0.alias("y0"), y1.alias("y1"), x0.alias("x0"), x1.alias("x1"))
+
+
+def credited(single: DataFrame, unions: DataFrame, key: tuple[str, ...] = ("page",)) -> DataFrame:
+    """The union's credit where it is of two hits or more and strictly larger; of equal
+    unions the category whose hit comes first."""
+    own = [*key, "occ_id"]
+    better = unions.where("n_hits >= 2").groupBy(*own).agg(F.max_by(F.struct("cover", "category"), F.struct(F.col("cover"), -F.col("first_hit"))).alias("u"))
+    joined = single.join(better, own, "left")
     take = F.coalesce(F.col("u.cover") > F.col("cover"), F.lit(False))
-    return joined.select("page", "occ_id", F.when(take, F.col("u.cover")).otherwise(F.col("cover")).alias("cover"), F.when(take, F.col("u.category")).otherwise(F.col("category")).alias("category"), take.alias("by_union"))
+    return joined.select(*own, F.when(take, F.col("u.cover")).otherwise(F.col("cover")).alias("cover"), F.when(take, F.col("u.category")).otherwise(F.col("category")).alias("category"), take.alias("by_union"))
 
 
-def surplus_hits(hits: DataFrame, occurrences: DataFrame, least: float = 0.5) -> DataFrame:
+def surplus_hits(hits: DataFrame, occurrences: DataFrame, least: float = 0.5, key: tuple[str, ...] = ("page",), cell: float = 64.0) -> DataFrame:
     """Hits that neither cover, nor are covered by, half of any occurrence."""
     gt, det = tuple(F.col(f"g{c}") for c in "xywh"), tuple(F.col(f"h{c}") for c in "xywh")
-    held = hits.join(occurrences, "page").where((cover(gt, det) >= least) | (cover(det, gt) >= least)).select("page", "hit_id").distinct()
-    return hits.join(held, ["page", "hit_id"], "left_anti")
+    held = box_pairs(occurrences, hits, list(key), cell).where((F.col("cover") >= least) | (cover(det, gt) >= least)).select(*key, "hit_id").distinct()
+    return hits.join(held, [*key, "hit_id"], "left_anti")
 
 
 def median_run(runs: DataFrame, group: list[str], score: str, index: str) -> DataFrame:

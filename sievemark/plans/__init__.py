@@ -1,6 +1,6 @@
 """The registered queries over the driver's tables."""
 
-from . import detection, evaluation, generation, ingest, spans
+from . import detection, evaluation, generation, ingest, reports, spans
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "detection", "evaluation", "generation", "ingest", "spans"]
+__all__ = ["ORACLES", "QUERIES", "detection", "evaluation", "generation", "ingest", "reports", "spans"]
