@@ -198,7 +198,7 @@ def attributed(misses: DataFrame, twins: DataFrame, lines: DataFrame) -> DataFra
     own = twins.select("doc_id", "occ_id", F.struct(F.col("doc_id").alias("doc"), "strict").alias("own"))
     first = twins.groupBy("occ_id").agg(F.min_by(F.struct(F.col("doc_id").alias("doc"), "strict"), "doc_id").alias("other"))
     keyed = misses.withColumn("_digits", digits_pattern(F.coalesce("value", F.lit(""))))
-    gone = F.col("raw").rlike(F.col("_digits")) & ~F.col("normalized").rlike(F.col("_digits"))
+    gone = F.rlike("raw", F.col("_digits")) & ~F.rlike("normalized", F.col("_digits"))
     lost = keyed.where("_digits IS NOT NULL").join(lines, ["doc_id", "leg", "page"]).where(gone).select("doc_id", "leg", "occ_id", F.lit(True).alias("lost")).distinct()
     joined = keyed.join(own, ["doc_id", "occ_id"], "left").join(first, "occ_id", "left").join(lost, ["doc_id", "leg", "occ_id"], "left")
     twin = F.coalesce("own", "other")
@@ -222,7 +222,7 @@ def caption_merges(rows: DataFrame, lines: DataFrame) -> DataFrame:
     head = lambda c, n: F.array_join(F.slice(F.split(c, " "), 1, n), " ")
     keyed = rows.withColumns({"_digits": digits_pattern(F.col("value")), "_value": norm_text(F.col("value")), "_caption": norm_text(F.col("caption"))})
     met = keyed.join(lines.select("doc_id", "leg", "page", "raw", norm_text(F.col("raw")).alias("_line")), ["doc_id", "leg", "page"])
-    whole = F.when(F.col("_digits").isNotNull(), F.col("raw").rlike(F.col("_digits"))).otherwise((F.col("_value") != "") & F.contains("_line", "_value"))
+    whole = F.when(F.col("_digits").isNotNull(), F.rlike("raw", F.col("_digits"))).otherwise((F.col("_value") != "") & F.contains("_line", "_value"))
     part = F.col("multiline") & (F.col("_value") != "") & F.contains("_line", head(F.col("_value"), 2))
     said = F.contains("_line", "_caption") | F.contains("_line", head(F.col("_caption"), 3))
     own = ("doc_id", "leg", "occ_id")
