@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .merge import concat_specs, first_wins
+from .ordered import cut
 
 #: Suffixes of company names, longest form first, and words of financial titles.
 STRIP_SUFFIXES = (
@@ -70,13 +71,27 @@ def area_share(rows: DataFrame, key: str, part: str, area: str) -> DataFrame:
 
 
 def roots(nodes: DataFrame, child: str, parent: str, hops: int = 32) -> DataFrame:
-    """(node, root, depth) by walking parents at most ``hops`` times, as a recursive query."""
-    nodes.select(F.col(child).alias("c"), F.col(parent).alias("p")).createOrReplaceTempView("_sievemark_tree")
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE up(node, at, depth) AS (
-          SELECT c, p, 0 FROM _sievemark_tree
-          UNION ALL SELECT u.node, t.p, u.depth + 1 FROM up u JOIN _sievemark_tree t ON u.at = t.c WHERE u.depth < {hops})
-        SELECT node, max_by(at, depth) AS root, max(depth) AS depth FROM up GROUP BY node""")
+    """(node, root, depth) by walking parents at most ``hops`` times from the parent on: the
+    first value that is no node, or where the walk is cut off, and the steps made.
+
+    Steps are doubled: the table of 2**k steps joined to itself gives that of 2**(k+1), so
+    the joins number log2(hops), each over the table of nodes. Cycles end at the cut.
+    """
+    walk = nodes.select(F.col(child).alias("node"), F.col(parent).alias("root"), F.lit(0).alias("depth"))
+    jump = cut(nodes.select(F.col(child).alias("x"), F.col(parent).alias("to"), F.lit(1).alias("n")))
+
+    def stepped(rows: DataFrame, at: str, n: str) -> DataFrame:
+        more = jump.select(F.col("x").alias(at), F.struct("to", "n").alias("_more"))
+        out = rows.join(more, at, "left")
+        return out.withColumns({"_at": F.when(F.col("_more").isNull(), F.col(at)).otherwise(F.col("_more.to")), "_n": F.col(n) + F.coalesce("_more.n", F.lit(0))})
+
+    while hops:
+        if hops & 1:
+            walk = stepped(walk, "root", "depth").select("node", F.col("_at").alias("root"), F.col("_n").alias("depth"))
+        hops >>= 1
+        if hops:
+            jump = cut(stepped(jump, "to", "n").select("x", F.col("_at").alias("to"), F.col("_n").alias("n")))
+    return walk.select("node", "root", "depth")
 
 
 def capped_hits(docs: DataFrame, token_array: Column, keywords: DataFrame, cap: int = 5) -> DataFrame:
@@ -93,3 +108,101 @@ def phrase_pattern(phrase: str) -> str:
 
     body = r"\s+".join(re.escape(w) for w in phrase.split())
     return ("(?i)" + (r"\b" if phrase[0].isalnum() else "") + body + (r"\b" if phrase[-1].isalnum() else ""))
+
+
+def phrase_hits(docs: DataFrame, phrases: list[str], text: str = "text", around: int = 30) -> DataFrame:
+    """(doc_id, phrase, start, end, excerpt) of every phrase in every text, whatever white
+    space is between its words. One Arrow pass, as no built-in gives the places of matches."""
+    import re
+
+    found = [(p, re.compile(phrase_pattern(p))) for p in phrases]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = [(d, p, m.start(), m.end(), t[max(0, m.start() - around) : m.end() + around]) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t for p, r in found for m in r.finditer(t)]
+            kinds = (batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32(), pa.string())
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "phrase", "start", "end", "excerpt"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, phrase string, start int, end int, excerpt string")
+
+
+def fanned_out(rows: DataFrame, scopes: str = "scopes") -> DataFrame:
+    """(keyword, category, source) of rules (ordinal, keyword, aliases, scopes, source, bucket):
+    the keyword and its aliases in every category of the rule, in lower case; the source is
+    the bucket where none is named; of equal rows the first proposed wins."""
+    words = rows.select("ordinal", F.coalesce("source", "bucket").alias("source"), scopes, F.posexplode(F.concat(F.array("keyword"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("_word", "keyword"))
+    scoped = words.select("ordinal", "source", "_word", F.lower(F.trim("keyword")).alias("keyword"), F.posexplode(scopes).alias("_scope", "category"))
+    keyed = scoped.withColumn("k", F.struct("keyword", "category"))
+    return first_wins(keyed, "k", ["source"], ["ordinal", "_word", "_scope"]).select("k.keyword", "k.category", "source")
+
+
+def first_proposals(corpora: DataFrame, manual: DataFrame, removed: DataFrame) -> DataFrame:
+    """(keyword, category, doctype, source): of equal keys the first, corpora before manual
+    rows, less what a source's removal list (source, keyword) names."""
+    every = concat_specs([corpora, manual]).join(removed.select("source", "keyword").distinct(), ["source", "keyword"], "left_anti")
+    keyed = every.withColumn("k", F.struct("keyword", "category", "doctype"))
+    return first_wins(keyed, "k", ["source"], ["spec_ord", "ordinal"]).select("k.*", "source")
+
+
+def shipped(rows: DataFrame, categories: tuple[str, ...], statuses: tuple[str, ...] = ("approved",)) -> DataFrame:
+    """Candidates of an approved status and a category of the closed list."""
+    return rows.where(F.col("status").isin(*statuses) & F.col("category").isin(*categories))
+
+
+def shipped_issuers(rows: DataFrame, promoted: tuple[str, ...] = ()) -> DataFrame:
+    """Issuers that are not excluded and not embargoed; candidates only if promoted."""
+    off = F.coalesce("excluded", F.lit(False)) | F.coalesce("embargoed", F.lit(False))
+    return rows.where(~off & (~F.coalesce("candidate_only", F.lit(False)) | F.col("issuer").isin(*promoted)))
+
+
+def accepted_by(value: Column, patterns: dict[str, list[str]]) -> Column:
+    """The issuers of which some anchored pattern takes the whole value, in order of name."""
+    return F.array_compact(F.array(*(F.when(value.rlike("|".join(f"^(?:{p.removeprefix('^').removesuffix('$')})$" for p in ps)), issuer) for issuer, ps in sorted(patterns.items()))))
+
+
+def domain_verdict(address: Column, allowed: tuple[str, ...], personal: tuple[str, ...]) -> Column:
+    """allowed, failure (a personal provider) or warning, by an address's domain."""
+    domain = F.lower(F.regexp_extract(address, "@([^@]*)$", 1))
+    return F.when(domain.isin(*allowed), "allowed").when(domain.isin(*personal), "failure").otherwise("warning")
+
+
+def identifier_hits(docs: DataFrame, pattern: str, tokens: DataFrame, places: DataFrame) -> DataFrame:
+    """(path, token) of identifiers in texts (path, text) that no list allows: ``tokens``
+    (token) anywhere, ``places`` (path, part) in a path if the token holds the part."""
+    hits = docs.select("path", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("token")).distinct()
+    left = hits.join(tokens.select("token").distinct(), "token", "left_anti")
+    near = places.select(F.col("path").alias("_path"), F.col("part").alias("_part"))
+    return left.join(near, (F.col("path") == F.col("_path")) & F.contains("token", "_part"), "left_anti").select("path", "token")
+
+
+def acronym(name: Column) -> Column:
+    """struct<stem, name, acronym> of ``Stem (ACR)``: the name is the stem without a leading
+    ``US ``; the acronym is null where there is none."""
+    pattern = r"^(.+?)\s*\(([A-Z0-9][A-Za-z0-9&/\- ]{0,31})\)\s*$"
+    stem = F.trim(F.when(name.rlike(pattern), F.regexp_extract(name, pattern, 1)).otherwise(name))
+    return F.struct(stem.alias("stem"), F.regexp_replace(stem, "^US (?=.)", "").alias("name"), F.when(name.rlike(pattern), F.trim(F.regexp_extract(name, pattern, 2))).alias("acronym"))
+
+
+def translated(names: Column, vocabulary: dict[str, str]) -> Column:
+    """A list of names in a closed vocabulary, distinct and sorted; an unknown one fails."""
+    known = F.create_map(*(F.lit(x) for kv in vocabulary.items() for x in kv))
+    one = lambda n: F.coalesce(F.try_element_at(known, n), F.raise_error(F.concat(F.lit("no such name: "), n)))
+    return F.array_sort(F.array_distinct(F.transform(names, one)))
+
+
+def word_list(rows: DataFrame, word: Column, order: str) -> DataFrame:
+    """(word, first, well_formed): distinct words with where each is first, and whether it is
+    letters, apostrophes and hyphens after a letter."""
+    listed = rows.select(word.alias("word"), order).where("word != ''").groupBy("word").agg(F.min(order).alias("first"))
+    return listed.withColumn("well_formed", F.col("word").rlike(r"^[a-z][a-z'\-]*$"))
+
+
+def parity_gaps(counts: DataFrame, table: str, bucket: str, n: str, unlabelled: str = "unlabeled") -> DataFrame:
+    """(table, gap): the spread of the labelled buckets' shares of a table, in points."""
+    shares = counts.withColumn("_share", F.col(n).cast("double") / F.sum(n).over(Window.partitionBy(table)))
+    spread = F.max(F.when(F.col(bucket) != unlabelled, F.col("_share"))) - F.min(F.when(F.col(bucket) != unlabelled, F.col("_share")))
+    return shares.groupBy(table).agg(F.round(spread * 100, 6).alias("gap"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .merge import last_wins
+from .ordered import before_range, in_ranges
 
 #: License identifiers by how they may be used.
 ALLOWED = ("Public Domain", "CC0", "CC0-1.0", "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "US-Federal-Government")
@@ -39,17 +40,14 @@ def license_verdict(license: Column, reviewed: Column) -> Column:
 
 
 def shard_of(keys: DataFrame, key: str, target: int, most: int) -> DataFrame:
-    """(key, n, shard): shards of about ``target`` rows, cut at key changes only.
-    The running count is over keys in ranges: totals of ranges first, then inside
-    each range, so no task sorts all keys."""
-    counts = keys.groupBy(key).agg(F.count("*").alias("n"))
-    parts = counts.withColumn("_range", F.floor(F.col(key) / 4096))
-    totals = parts.groupBy("_range").agg(F.sum("n").alias("_sum"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).select("_range", "_start")
+    """(key, n, shard): shards of about ``target`` rows, cut at key changes only. Keys of
+    any type are put into ranges; the running count is over ranges first, then inside
+    each, so no task sorts all keys."""
+    placed = in_ranges(keys.groupBy(key).agg(F.count("*").alias("n")), [key])
+    starts = before_range(placed, F.sum("n"))
     inner = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.join(starts, "_range").withColumn("_before", F.col("_start") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
-    return placed.select(key, "n", F.least(F.floor(F.col("_before") / target), F.lit(most - 1)).cast("int").alias("shard"))
+    counted = placed.join(starts, "_range").withColumn("_before", F.col("_before") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
+    return counted.select(key, "n", F.least(F.floor(F.col("_before") / target), F.lit(most - 1)).cast("int").alias("shard"))
 
 
 def shrinks(old: DataFrame, new: DataFrame) -> bool:
@@ -61,3 +59,110 @@ def fingerprint(rows: DataFrame, columns: list[str]) -> DataFrame:
     """A digest of a table that does not depend on the order of its rows."""
     h = F.xxhash64(*columns)
     return rows.agg(F.count("*").alias("n"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("sum"), F.bit_xor(h).alias("xor"))
+
+
+def without_row(files: DataFrame, ledger: DataFrame, suffix: str = ".sha256") -> DataFrame:
+    """(rel_path, status): tracked files without a ledger row, but for digest files beside a
+    listed one, and ledger rows without a file."""
+    listed = ledger.select("rel_path").distinct()
+    beside = listed.select(F.concat("rel_path", F.lit(suffix)).alias("rel_path"))
+    loose = files.select("rel_path").distinct().join(listed, "rel_path", "left_anti").join(beside, "rel_path", "left_anti")
+    gone = listed.join(files.select("rel_path"), "rel_path", "left_anti")
+    return loose.withColumn("status", F.lit("unlisted")).unionByName(gone.withColumn("status", F.lit("absent")))
+
+
+def ledger_check(ledger: DataFrame, files: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """(rel_path, offence) of a ledger (rel_path, license, sha256): license offences, and
+    digests that are not those of the files (rel_path, sha256). reviewed: rel_path."""
+    known = ledger.join(reviewed.select("rel_path", F.lit(True).alias("_ok")).distinct(), "rel_path", "left")
+    offences = known.select("rel_path", F.explode(license_verdict(F.col("license"), F.coalesce("_ok", F.lit(False)))).alias("offence"))
+    digests = hash_diff(ledger, files, "rel_path", "sha256").where("status = 'changed'").select("rel_path", F.lit("digest").alias("offence"))
+    return offences.unionByName(digests)
+
+
+def resolved_assets(wanted: DataFrame, built: DataFrame, installed: DataFrame, lock: DataFrame) -> DataFrame:
+    """(rel_path, origin, sha256, matches): each wanted asset from the build, else from the
+    installed ones, else skipped; whether it is the one the lock names, null where the lock
+    has none."""
+    of = lambda df, name: df.select("rel_path", F.col("sha256").alias(name))
+    joined = wanted.select("rel_path").join(of(built, "_b"), "rel_path", "left").join(of(installed, "_i"), "rel_path", "left").join(of(lock, "_l"), "rel_path", "left")
+    digest = F.coalesce("_b", "_i")
+    origin = F.when(F.col("_b").isNotNull(), "built").when(F.col("_i").isNotNull(), "installed").otherwise("skipped")
+    return joined.select("rel_path", origin.alias("origin"), digest.alias("sha256"), (digest == F.col("_l")).alias("matches"))
+
+
+def lock_diff(lock: DataFrame, present: DataFrame, built_only: bool = False) -> DataFrame:
+    """(rel_path, status) against a lock; ``built_only`` does not ask for what is not there."""
+    found = hash_diff(lock, present, "rel_path", "sha256")
+    return found.where("status != 'missing'") if built_only else found
+
+
+def out_of_band(path: Column, prefixes: tuple[str, ...]) -> Column:
+    """Whether a path is one of a list or begins with one."""
+    out = F.lit(False)
+    for p in prefixes:
+        out = out | path.startswith(p)
+    return out
+
+
+def short_digest(data: Column, letters: int = 12) -> Column:
+    """struct<digest, bytes>: the first letters of the SHA-256, and the size."""
+    raw = data.cast("binary")
+    return F.struct(F.substring(F.sha2(raw, 256), 1, letters).alias("digest"), F.length(raw).cast("long").alias("bytes"))
+
+
+def cardinality_violations(rows: DataFrame, pins: DataFrame, group: str, key: str) -> DataFrame:
+    """(group, counter, wanted, found) where a table's counts are not the pinned ones.
+
+    pins: group, total, unique; the group ``*`` pins the whole table."""
+    counts = lambda df, g: df.groupBy(g.alias(group)).agg(F.count("*").alias("total"), F.countDistinct(key).alias("unique"))
+    found = counts(rows, F.col(group)).unionByName(counts(rows, F.lit("*")))
+    both = pins.select(group, F.col("total").alias("w_total"), F.col("unique").alias("w_unique")).join(found, group, "left")
+    each = F.array(*(F.struct(F.lit(c).alias("counter"), F.col(f"w_{c}").cast("long").alias("wanted"), F.coalesce(c, F.lit(0)).cast("long").alias("found")) for c in ("total", "unique")))
+    return both.select(group, F.inline(each)).where("wanted != found")
+
+
+def folder_sizes(files: DataFrame) -> DataFrame:
+    """(folder, n_files, bytes) of files (rel_path, bytes) by their first folder, and in total."""
+    folder = F.when(F.contains("rel_path", F.lit("/")), F.split_part("rel_path", F.lit("/"), F.lit(1))).otherwise("")
+    g = files.withColumn("folder", folder).rollup("folder").agg(F.grouping("folder").alias("_all"), F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"))
+    return g.select(F.when(F.col("_all") == 1, "*").otherwise(F.col("folder")).alias("folder"), "n_files", "bytes")
+
+
+def files_fingerprint(files: DataFrame) -> DataFrame:
+    """SHA-256 over (path, size, digest, source) of files in order of path, fields and rows
+    ended by NUL. A file is one short line, so some 10**6 fit in the row."""
+    line = F.concat(*(F.concat(F.col(c).cast("string"), F.lit("\0")) for c in ("rel_path", "bytes", "sha256", "source")))
+    return files.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rel_path", line.alias("l")))), lambda x: x["l"]), "").cast("binary"), 256).alias("digest"), F.count("*").alias("n_files"))
+
+
+def rebuilt_alike(build, *, columns: list[str] | None = None) -> bool:
+    """Whether building a table twice gives the same rows, whatever their order."""
+    first, second = build(), build()
+    names = columns or first.columns
+    return fingerprint(first, names).first() == fingerprint(second, names).first()
+
+
+def reviewed_version(live: DataFrame, sidecar: DataFrame, key: str = "name") -> DataFrame:
+    """(key, status): live candidate files whose digest is not the one that was reviewed, and
+    those that were not reviewed. Both tables: key, sha256."""
+    both = live.select(key, F.col("sha256").alias("_live")).join(sidecar.select(key, F.col("sha256").alias("_seen")), key, "left")
+    status = F.when(F.col("_seen").isNull(), "not_reviewed").when(F.col("_live") != F.col("_seen"), "changed")
+    return both.select(key, status.alias("status")).where("status IS NOT NULL")
+
+
+def digest_rows(archives: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """(rel_path, sha256, verified): archives with whether the digest in their sidecar file
+    (rel_path with .sha256, text ``<digest>  <name>``) is theirs; null without one."""
+    said = sidecars.select(F.regexp_replace("rel_path", r"\.sha256$", "").alias("rel_path"), F.lower(F.split_part(F.trim("text"), F.lit(" "), F.lit(1))).alias("_said"))
+    return archives.join(said, "rel_path", "left").select("rel_path", "sha256", (F.col("_said") == F.lower("sha256")).alias("verified"))
+
+
+def installed(sources: DataFrame, present: DataFrame, guarded: tuple[str, ...], allow_shrink: bool = False) -> DataFrame:
+    """``sources`` (rel_path, entries, sha256) that may be copied over ``present`` (rel_path,
+    entries); fails for a guarded one that would shrink. Entry counts may be null, which
+    guards nothing."""
+    both = sources.join(present.select("rel_path", F.col("entries").alias("_had")), "rel_path", "left")
+    less = F.col("rel_path").isin(*guarded) & (F.col("entries") < F.col("_had")) & ~F.lit(allow_shrink)
+    refuse = F.raise_error(F.concat(F.lit("would shrink: "), "rel_path"))
+    return both.select(F.when(F.coalesce(less, F.lit(False)), refuse).otherwise(F.col("rel_path")).alias("rel_path"), "entries", "sha256")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import in_ranges, sorted_digest
+
 #: The demographic labels, in the order that breaks ties, and the plurality bound.
 DEMOGRAPHICS = ("white", "black", "asian", "ai_an", "hispanic", "unlabeled")
 PLURALITY = 40.0
@@ -48,12 +50,9 @@ def keys_digest(keys: DataFrame, key: str) -> DataFrame:
     return keys.agg(F.sha2(joined.cast("binary"), 256).alias("digest"), F.countDistinct(key).alias("n_keys"))
 
 
-def tree_digest(keys: DataFrame, key: str, fan: int = 256) -> DataFrame:
-    """A digest for key sets of any size: SHA-256 over the digests of ``fan``
-    groups by hash prefix, each over its sorted keys."""
-    group = F.substring(F.sha2(F.col(key).cast("binary"), 256), 1, len(f"{fan - 1:x}"))
-    leaves = keys.groupBy(group.alias("g")).agg(F.sha2(F.array_join(F.array_sort(F.collect_set(key)), "\n").cast("binary"), 256).alias("d"))
-    return leaves.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "g", "d"))), "\n").cast("binary"), 256).alias("digest"))
+def tree_digest(keys: DataFrame, key: str) -> DataFrame:
+    """A digest for key sets of any size: over the digests of ranges of the sorted keys."""
+    return sorted_digest(keys, key).select("digest")
 
 
 def plurality(shares: dict[str, Column], bound: float = PLURALITY) -> Column:
@@ -74,7 +73,13 @@ def keep_entities(rows: DataFrame, entity: str, language: str, label: Column, le
 
 
 def broken_runs(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Keys whose rows are not contiguous in ``order``."""
-    before = F.lag(key).over(Window.orderBy(order))
-    starts = rows.withColumn("_start", (~F.col(key).eqNullSafe(before)).cast("int"))
-    return starts.groupBy(key).agg(F.sum("_start").alias("runs")).where("runs > 1")
+    """(key, runs) of keys whose rows are not contiguous in ``order``. Neighbours are compared
+    inside ranges; of each range its first and last key are compared with its neighbours'."""
+    placed = in_ranges(rows.select(key, order), [order])
+    before = F.lag(F.struct(key)).over(Window.partitionBy("_range").orderBy(order))
+    inside = placed.withColumn("_start", before.isNotNull() & ~F.struct(key).eqNullSafe(before)).groupBy(key).agg(F.count_if("_start").alias("n"))
+    ends = placed.groupBy("_range").agg(F.min_by(F.struct(key), order).alias("first"), F.max_by(F.struct(key), order).alias("last"))
+    listed = ends.agg(F.sort_array(F.collect_list(F.struct("_range", "first", "last"))).alias("r"))
+    new = F.filter(F.transform("r", lambda x, i: F.when((i == 0) | ~F.get("r", i - 1)["last"].eqNullSafe(x["first"]), x["first"])), lambda f: f.isNotNull())
+    edges = listed.select(F.explode(new).alias("f")).select(f"f.{key}").groupBy(key).agg(F.count("*").alias("n"))
+    return inside.unionByName(edges).groupBy(key).agg(F.sum("n").alias("runs")).where("runs > 1")
