@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import posterior, ratio, wilson
+from ..functions.metrics import ratio, wilson
 from ..operators import calibration as C
 from ..operators import evaluation as E
+from ..operators import gazetteer as G
 from .registry import query, table
 
 _DOCTYPES, _BUCKETS = ("court", "medical", "financial", "foia", "generic"), ("white", "black", "hispanic", "asian", "ai_an")
@@ -67,25 +68,26 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_SCORE_SQL}, q AS (SELECT *, CASE family WHEN 'click' THEN 0.3 WHEN 'view' THEN 0.2 WHEN 'purchase' THEN 0.4 END AS cutoff FROM s)
-SELECT family, hit, count(*) AS n, count(*) FILTER (WHERE raw >= cutoff) AS above, count(*) FILTER (WHERE raw < cutoff) AS below, min(raw) AS least, max(raw) AS most, round(sum((raw * 10000)::BIGINT)::DOUBLE / 10000 / count(*), 6) AS mean,
- {", ".join(f"quantile_disc(raw, {p / 100}) AS p{p}" for p in (5, 25, 50, 75, 95))} FROM q GROUP BY 1, 2""")
+SELECT *, round(min(CASE WHEN hit THEN least END) OVER (PARTITION BY family) - max(CASE WHEN NOT hit THEN most END) OVER (PARTITION BY family), 6) AS score_gap FROM (SELECT family, hit, count(*) AS n, count(*) FILTER (WHERE raw >= cutoff) AS above, count(*) FILTER (WHERE raw < cutoff) AS below, min(raw) AS least, max(raw) AS most, round(sum((raw * 10000)::BIGINT)::DOUBLE / 10000 / count(*), 6) AS mean,
+ {", ".join(f"quantile_disc(raw, {p / 100}) AS p{p}" for p in (5, 25, 50, 75, 95))} FROM q GROUP BY 1, 2)""")
 def headroom_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score summaries and nearest-rank percentiles; families without a cut-off
-    have nothing above or below."""
+    """Score summaries, nearest-rank percentiles and gaps; families without a cut-off have
+    nothing above or below."""
     cutoffs = F.when(F.col("family") == "click", 0.3).when(F.col("family") == "view", 0.2).when(F.col("family") == "purchase", 0.4)
-    q = _scores(spark, sf_dir).withColumn("cutoff", cutoffs)
-    mean = F.round(F.sum(F.round(F.col("raw") * 10000).cast("long")).cast("double") / 10000 / F.count("*"), 6)
-    return q.groupBy("family", "hit").agg(F.count("*").alias("n"), F.count_if(F.col("raw") >= F.col("cutoff")).alias("above"), F.count_if(F.col("raw") < F.col("cutoff")).alias("below"), F.min("raw").alias("least"), F.max("raw").alias("most"), mean.alias("mean"), *E.percentiles("raw"))
+    return E.score_summary(_scores(spark, sf_dir).withColumn("cutoff", cutoffs), ["family"], "raw", "hit", "cutoff")
 
 
 @query(f"""WITH {_SCORE_SQL}, c AS (SELECT *, least(greatest(raw, 1e-6::DOUBLE), 1.0::DOUBLE - 1e-6::DOUBLE) AS p, CASE family WHEN 'click' THEN 0.3::DOUBLE WHEN 'view' THEN 0.6::DOUBLE ELSE 0.5::DOUBLE END AS prior FROM s),
 l AS (SELECT *, ln(p / (1.0::DOUBLE - p)) + ln(prior / (1.0::DOUBLE - prior)) AS x FROM c), v AS (SELECT *, CASE WHEN x >= 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-x)) ELSE exp(x) / (1.0::DOUBLE + exp(x)) END AS posterior FROM l)
-SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'applied' ELSE 'fresh' END AS mode, round(CASE WHEN event_id % 10 = 0 THEN raw ELSE posterior END, 6) AS posterior FROM v""")
+SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'applied' WHEN 1 THEN 'fresh' WHEN 2 THEN 'mixed' ELSE 'corpus' END AS mode, round(CASE event_id % 10 WHEN 0 THEN raw WHEN 1 THEN p WHEN 2 THEN (p + posterior) / 2 ELSE posterior END, 6) AS posterior FROM v""")
 def posterior_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posteriors of raw scores; where the prior was applied before, the score itself."""
+    """Posteriors of raw scores in each prior mode; where the prior was applied before, the
+    score itself."""
+    k, raw = F.col("event_id") % 10, F.col("raw")
     prior = F.when(F.col("family") == "click", 0.3).when(F.col("family") == "view", 0.6).otherwise(0.5)
-    applied = F.col("event_id") % 10 == 0
-    return _scores(spark, sf_dir).select("event_id", F.when(applied, "applied").otherwise("fresh").alias("mode"), F.round(F.when(applied, F.col("raw")).otherwise(posterior(F.col("raw"), prior)), 6).alias("posterior"))
+    out = F.when(k == 1, C.composed(raw, prior, "fresh")).when(k == 2, C.composed(raw, prior, "mixed")).otherwise(C.composed(raw, prior, "corpus", k == 0))
+    mode = F.when(k == 0, "applied").when(k == 1, "fresh").when(k == 2, "mixed").otherwise("corpus")
+    return _scores(spark, sf_dir).select("event_id", mode.alias("mode"), F.round(out, 6).alias("posterior"))
 
 
 _TRUTH_SQL = "truth AS (SELECT family, count(*) FILTER (WHERE hit) + 5 AS total FROM s GROUP BY 1)"
@@ -96,8 +98,8 @@ _COARSE_SQL = "coarse AS (SELECT DISTINCT family, round(i * 0.02::DOUBLE, 6) AS
 
 
 def _swept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    scores = _scores(spark, sf_dir).withColumnRenamed("raw", "score")
-    return scores, scores.groupBy("family").agg((F.count_if("hit") + 5).alias("total"))
+    found = C.score_histogram(_scores(spark, sf_dir).withColumnRenamed("raw", "score"), "family")
+    return found, found.groupBy("family").agg((F.sum("hits") + 5).alias("total"))
 
 
 @query(f"WITH {_SCORE_SQL}, {_TRUTH_SQL}, {_COARSE_SQL}, {_AT_SQL.format(grid='coarse')} SELECT family, t, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM m")
@@ -113,7 +115,7 @@ fine AS (SELECT family, t FROM coarse UNION SELECT family, round(least(greatest(
 {_AT_SQL.format(grid='fine').replace('g AS', 'g2 AS').replace('a AS (', 'a2 AS (').replace('m AS', 'm2 AS').replace('FROM g ', 'FROM g2 ').replace('FROM a)', 'FROM a2)')},
 a1 AS (SELECT family, t FROM m2 WHERE recall >= 0.95 QUALIFY row_number() OVER (PARTITION BY family ORDER BY f1 DESC, t) = 1), af AS (SELECT family, t FROM m2 QUALIFY row_number() OVER (PARTITION BY family ORDER BY recall DESC, t) = 1),
 b1 AS (SELECT family, t FROM m2 WHERE recall >= 0.70 QUALIFY row_number() OVER (PARTITION BY family ORDER BY f1 DESC, t DESC) = 1), c1 AS (SELECT family, t FROM m2 WHERE precision >= 0.95 QUALIFY row_number() OVER (PARTITION BY family ORDER BY f1 DESC, t DESC) = 1), cf AS (SELECT family, t FROM m2 QUALIFY row_number() OVER (PARTITION BY family ORDER BY precision DESC, t DESC) = 1)
-SELECT family, least(coalesce(c1.t, cf.t), 0.95::DOUBLE) AS conservative, least(coalesce(b1.t, a1.t, af.t), 0.90::DOUBLE) AS balanced, coalesce(a1.t, af.t) AS aggressive FROM af LEFT JOIN a1 USING (family) LEFT JOIN b1 USING (family) LEFT JOIN c1 USING (family) LEFT JOIN cf USING (family)
+SELECT family, CASE WHEN family <> 'signup' THEN least(coalesce(c1.t, cf.t), 0.80::DOUBLE - 0.05::DOUBLE) ELSE coalesce(c1.t, cf.t) END AS conservative, CASE WHEN family <> 'signup' THEN least(coalesce(b1.t, a1.t, af.t), 0.80::DOUBLE - 0.05::DOUBLE) ELSE coalesce(b1.t, a1.t, af.t) END AS balanced, CASE WHEN family <> 'signup' THEN least(coalesce(a1.t, af.t), 0.80::DOUBLE - 0.05::DOUBLE) ELSE coalesce(a1.t, af.t) END AS aggressive FROM af LEFT JOIN a1 USING (family) LEFT JOIN b1 USING (family) LEFT JOIN c1 USING (family) LEFT JOIN cf USING (family)
 UNION ALL SELECT 'carried', 0.9, 0.8, 0.7""")
 def preset_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse then refined sweep, three presets, feasibility clamp, carry-forward."""
@@ -122,7 +124,8 @@ def preset_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     centre = C.centres(coarse, "family")
     fine = C.grid_metrics(scores.join(centre, "family"), truth, "family", C.refined_grid(F.col("centre")))
     swept = C.presets(fine, "family")
-    clamped = swept.select("family", F.least("conservative", F.lit(0.95)).alias("conservative"), F.least("balanced", F.lit(0.90)).alias("balanced"), "aggressive")
+    ceilings = spark.createDataFrame([(f, 0.80) for f in ("click", "view", "error", "purchase")], "family string, most double")
+    clamped = C.feasible(swept, ceilings, "family", ("conservative", "balanced", "aggressive")).drop("clamped")
     shipping = spark.createDataFrame([("carried", 0.9, 0.8, 0.7), ("click", 0.1, 0.1, 0.1)], "family string, conservative double, balanced double, aggressive double")
     return C.carry_forward(shipping, clamped, "family")
 
@@ -155,8 +158,8 @@ def sub_seed_locale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document seeds, locales, buckets and folds."""
     k, seed = F.col("doc_id"), F.col("seed")
     docs = table(spark, sf_dir, "documents").select(k, C.sub_seed(F.lit("court"), k).alias("seed"))
-    locale = F.when((k % 5 == 2) & (seed % 10 < 3), "es_MX").when((k % 5 == 2) & (seed % 10 < 6), "es_ES").otherwise("en_US")
-    return docs.select(k, seed, locale.alias("locale"), F.element_at(F.array(*map(F.lit, _BUCKETS)), (k % 5 + 1).cast("int")).alias("bucket"), C.fold_of(k, 7).alias("fold"))
+    bucket = F.element_at(F.array(*map(F.lit, _BUCKETS)), (k % 5 + 1).cast("int"))
+    return docs.select(k, seed, C.locale_of(bucket, seed).alias("locale"), bucket.alias("bucket"), C.fold_of(k, 7).alias("fold"))
 
 
 _HALVES_SQL = f"""WITH {_LABEL_SQL}, h AS (SELECT doc_id % 2 = 0 AS before, CASE lang WHEN 'de' THEN 'mrn' WHEN 'en' THEN 'account' WHEN 'fr' THEN 'phone' ELSE lang END AS family, * FROM l), c AS (SELECT before, family, count(*) FILTER (WHERE truth AND predicted) AS tp, count(*) FILTER (WHERE NOT truth AND predicted) AS fp, count(*) FILTER (WHERE truth AND NOT predicted) AS fn FROM h GROUP BY 1, 2),
@@ -224,12 +227,9 @@ def crosscheck_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT filter, round((max(share) - min(share)) * 100, 6) AS gap FROM s GROUP BY 1""")
 def parity_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spread of segment shares in each nation, in points."""
-    from pyspark.sql import Window
-
     rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     counts = rows.groupBy(F.col("n_name").alias("filter"), F.col("c_mktsegment").alias("bucket")).agg(F.count("*").alias("n"))
-    shares = counts.withColumn("share", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy("filter")))
-    return shares.groupBy("filter").agg(F.round((F.max("share") - F.min("share")) * 100, 6).alias("gap"))
+    return G.parity_gaps(counts, "filter", "bucket", "n")
 
 
 def _logit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
