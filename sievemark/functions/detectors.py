@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EMAIL_LIMIT = 254
@@ -27,20 +27,32 @@ REGISTRY: dict[str, Detector] = {
     "email": Detector("pii.email.v1", r"[a-zA-Z0-9_%+-](?:[a-zA-Z0-9_%+-]|\.(?=[a-zA-Z0-9_%+-]))*@(?:[a-zA-Z0-9](?:[a-zA-Z0-9.-]*[a-zA-Z0-9])?)\.[a-zA-Z]{2,}"),
     "phone": Detector("pii.phone.v1", r"(?<![0-9])(?:\+1[\s.-]?)?(?:\([0-9]{3}\)[\s.-]?[0-9]{3}[\s.-]?[0-9]{4}|[0-9]{3}[\s.-]?[0-9]{3}[\s.-]?[0-9]{4})(?![0-9])"),
     "creditCard": Detector("pii.cc.luhn.v1", r"(?<![0-9A-Za-z_])[0-9]{13,19}(?![0-9A-Za-z_])", checksum=True),
-    "ssn": Detector("pii.ssn.v1", r"(?<![0-9A-Za-z_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z_])"),
+    "ssn": Detector("pii.ssn.state_machine.v1", r"(?<![0-9A-Za-z_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z_])"),
     "itin": Detector("pii.itin.v1", r"(?<![0-9A-Za-z_])9[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z_])"),
     "ein": Detector("pii.ein.v1", r"(?<![0-9A-Za-z_])[0-9]{2}-[0-9]{7}(?![0-9A-Za-z_])"),
     "npi": Detector("pii.npi.luhn.v1", r"(?<![0-9A-Za-z_])[12][0-9]{9}(?![0-9A-Za-z_])", checksum=True),
     "dea": Detector("pii.dea.checksum.v1", r"(?<![0-9A-Za-z_])[A-Z]{2}[0-9]{7}(?![0-9A-Za-z_])", checksum=True),
-    "routingNumber": Detector("pii.routing.checksum.v1", r"(?<![0-9A-Za-z_])[0-9]{9}(?![0-9A-Za-z_])", checksum=True),
-    "mrn": Detector("pii.mrn.v1", r"(?i)\bMR[N]?[:#\s]+[A-Z0-9]{5,12}\b"),
-    "patientId": Detector("pii.mrn.patient.v1", r"(?i)\bPatient\s+ID[:#\s]+[A-Z0-9]{5,12}\b"),
+    "routingNumber": Detector("pii.routing_number.v1", r"(?<![0-9A-Za-z_])[0-9]{9}(?![0-9A-Za-z_])", checksum=True),
+    "mrn": Detector("pii.mrn.labeled.v1", r"(?i)\bMR[N]?[:#\s]+[A-Z0-9]{5,12}\b"),
+    "patientId": Detector("pii.mrn.patient_id.v1", r"(?i)\bPatient\s+ID[:#\s]+[A-Z0-9]{5,12}\b"),
     "institutionMrn": Detector("pii.mrn.institution.v1", r"\b[A-Z]{2,5}-[0-9]{6,10}\b"),
     "driversLicense": Detector("pii.dl.v1", r"(?i)(?:Driver(?:'?s)?\s+Lic(?:ense)?|DL|D\.?L\.?)\s*[:#]?\s*([A-Z][0-9]{4,14}|[0-9]{6,12})", 1),
     "passport": Detector("pii.passport.v1", r"(?i)(?:Passport|PP|Passport\s+No|Passport\s+Number)\s*[#:]?\s*([A-Z]{1,2}[0-9]{6,9})", 1),
-    "licensePlate": Detector("pii.plate.v1", r"(?i)\b(?:License\s+Plate|Plate|Tag)[:#\s]+[A-Z0-9]{2,3}[-\s]?[A-Z0-9]{2,5}\b"),
+    "licensePlate": Detector("pii.lp.v1", r"(?i)\b(?:License\s+Plate|Plate|Tag)[:#\s]+[A-Z0-9]{2,3}[-\s]?[A-Z0-9]{2,5}\b"),
     "bates": Detector("pii.bates.v1", r"\b[A-Z]{1,10}[-_ ]?[0-9]{4,10}\b"),
 }
+#: The 21 rules by the kind that they are about. Six have no pattern here: names
+#: come from a tagger, barcodes and signatures from images, dates from ``dob_reason``, accounts
+#: and addresses from scores over several lines.
+RULES: dict[str, str] = {d.rule: kind for kind, d in REGISTRY.items() if kind != "bates"} | {
+    "pii.account.v1": "account", "pii.address.v1": "address", "pii.dob.v1": "dateOfBirth", "pii.name.nltagger.v1": "name", "pii.barcode.vision.v1": "barcode", "pii.signature.heuristic.v1": "signature",
+}
+
+
+def rule_catalog(spark: SparkSession) -> DataFrame:
+    """(rule_id, family, kind, version, is_checksum_gated, pattern) of every rule."""
+    rows = [(rule, "pii", kind, rule.rsplit(".", 1)[1], kind in REGISTRY and REGISTRY[kind].checksum, REGISTRY[kind].pattern if kind in REGISTRY else None) for rule, kind in sorted(RULES.items())]
+    return spark.createDataFrame(rows, "rule_id string, family string, kind string, version string, is_checksum_gated boolean, pattern string")
 
 
 def hits(text: Column, kind: str) -> Column:

@@ -8,7 +8,6 @@ checked first.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import streamed_digest
+
 #: The hash's constants, sizing, and the file header.
 _C1, _C2 = 0x87C37B91114253D5, 0x4CF5AD432745937F
 _F1, _F2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
@@ -164,6 +165,5 @@ def unpack(data: bytes) -> tuple[Bloom, bytes]:
 
 
 def digest(keys: DataFrame, key: str) -> bytes:
-    """SHA-256 of the sorted keys (of what fits in a row)."""
-    joined = keys.agg(F.array_join(F.array_sort(F.collect_set(key)), "\n")).first()[0]
-    return hashlib.sha256(joined.encode()).digest()
+    """SHA-256 of the sorted keys, taken range after range."""
+    return bytes.fromhex(streamed_digest(keys, key)[0])

@@ -1,8 +1,4 @@
-"""Deterministic generators: labelled documents, test vectors, ladders, resampling.
-
-Random draws come from CPython's ``random.Random``, seeded for each row, so a
-document does not depend on how rows are partitioned.
-"""
+"""Ladders of hostile inputs, and resampling."""
 
 from __future__ import annotations
 
@@ -10,110 +6,15 @@ import random
 from collections.abc import Iterator
 from statistics import NormalDist
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .calibration import sub_seed
-
-#: Documents of each class, buckets, the resampling count and seed.
-PLAN = {"court": 300, "medical": 250, "financial": 300, "foia": 150, "generic": 100}
-BUCKETS = ("white", "black", "hispanic", "asian", "ai_an")
+#: The resampling count and seed.
 RESAMPLES, SEED = 2_000, 20260416
-
-_FIRST = ("Ada", "Ben", "Cora", "Dev", "Elif", "Femi", "Gus", "Hana", "Ines", "Jun")
-_LAST = ("Alder", "Birch", "Cedar", "Dogwood", "Elm", "Fir", "Gum", "Hazel", "Ivy", "Juniper")
-_OPEN = {
-    "court": "In the matter before this court, the filing names the following party.",
-    "medical": "The visit was recorded by the attending clinician on the ward.",
-    "financial": "This statement lists the holder of the account named below.",
-    "foia": "The records requested were reviewed and are released in part.",
-    "generic": "Please find the requested details in the lines that follow.",
-}
-SPAN_TYPE = "array<struct<category:string,start:int,end:int,value:string,tier:string,expected_outcome:string>>"
-
-
-def plan(spark: SparkSession, counts: dict[str, int] | None = None, seed: int = SEED) -> DataFrame:
-    """(doctype, index, bucket, seed) of every document to render."""
-    rows = spark.createDataFrame(list((counts or PLAN).items()), "doctype string, n int")
-    each = rows.select("doctype", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("index"))
-    bucket = F.element_at(F.array(*map(F.lit, BUCKETS)), F.col("index") % 5 + 1)
-    return each.select("doctype", "index", bucket.alias("bucket"), sub_seed(F.col("doctype"), F.col("index"), seed=seed).alias("seed"))
-
-
-def luhn_digit(head: str) -> str:
-    total = sum(sum(divmod(int(c) * (2 if i % 2 == 0 else 1), 10)) for i, c in enumerate(reversed(head)))
-    return str(-total % 10)
-
-
-def _card(rng: random.Random) -> str:
-    head = "4" + "".join(str(rng.randrange(10)) for _ in range(14))
-    return head + luhn_digit(head)
-
-
-def _values(rng: random.Random) -> dict[str, str]:
-    person = f"{rng.choice(_FIRST)} {rng.choice(_LAST)}"
-    return {
-        "name": person,
-        "email": person.lower().replace(" ", ".") + f"{rng.randrange(100)}@example.com",
-        "phone": f"({rng.randrange(200, 1000)}) 555-{rng.randrange(10000):04d}",
-        "ssn": f"{rng.choice([*range(1, 666), *range(667, 900)]):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}",
-        "creditCard": _card(rng),
-        "dateOfBirth": f"{rng.randrange(1, 13):02d}/{rng.randrange(1, 29):02d}/{rng.randrange(1930, 2005)}",
-        "mrn": f"MRN: {rng.randrange(10**6, 10**7)}",
-        "account": f"{rng.randrange(10**9, 10**10)}",
-    }
-
-
-class SpanBuilder:
-    """Text that grows piece by piece and knows where its labelled values are."""
-
-    def __init__(self):
-        self.text, self.spans = "", []
-
-    def add(self, piece: str) -> None:
-        self.text += piece
-
-    def value(self, category: str, value: str, tier: str = "must") -> None:
-        start = len(self.text)
-        self.text += value
-        outcome = {"must_not": "suppress", "watch": "flag"}.get(tier, "redact")
-        self.spans.append({"category": category, "start": start, "end": len(self.text), "value": value, "tier": tier, "expected_outcome": outcome})
-
-
-def render(doctype: str, seed: int) -> SpanBuilder:
-    """One document: a pure function of its class and seed."""
-    rng = random.Random(seed)
-    doc = SpanBuilder()
-    doc.add(_OPEN[doctype] + "\n")
-    values = _values(rng)
-    for category in rng.sample(sorted(values), rng.randrange(5, len(values) + 1)):
-        doc.add(f"{category}: ")
-        doc.value(category, values[category])
-        doc.add("\n")
-    if rng.random() < 0.3:
-        doc.add("reference ")
-        doc.value("account", "0000000000", "must_not")
-        doc.add("\n")
-    return doc
-
-
-def corpus(planned: DataFrame) -> DataFrame:
-    """(id, doctype, bucket, text, pii_spans) of a plan."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            docs = [render(d, s) for d, s in zip(b["doctype"], b["seed"], strict=True)]
-            yield pd.DataFrame({"id": b["doctype"] + "-" + b["index"].astype(str), "doctype": b["doctype"], "bucket": b["bucket"], "text": [d.text for d in docs], "pii_spans": [d.spans for d in docs]})
-
-    return planned.mapInPandas(run, f"id string, doctype string, bucket string, text string, pii_spans {SPAN_TYPE}")
-
-
-def assembly_violations(docs: DataFrame) -> DataFrame:
-    """Documents whose spans do not read back from their text, overlap, or are too few or many."""
-    wrong = F.exists("pii_spans", lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]) != s["value"])
-    rule = F.when(~F.size("pii_spans").between(5, 18), "count").when(wrong, "value")
-    return docs.withColumn("rule", rule).where("rule IS NOT NULL").select("id", "rule")
+#: Draws handled at once.
+CHUNK = 1 << 22
 
 
 def redos_ladder(spark: SparkSession) -> DataFrame:
@@ -125,66 +26,79 @@ def redos_ladder(spark: SparkSession) -> DataFrame:
     return rows.select(F.explode(F.array(*(F.struct(F.lit(k).alias("shape"), n.alias("length"), v.alias("text")) for k, v in shapes.items()))).alias("r")).select("r.*")
 
 
-def vectors(seed: int = SEED) -> list[tuple[str, str, bool, str | None]]:
-    """(family, value, valid, rejection_reason) test vectors of the checksum families."""
-    rng, out = random.Random(seed), []
-    for _ in range(50):
-        v = _values(rng)
-        out.append(("ssn", v["ssn"], True, None))
-        out.append(("creditCard", v["creditCard"], True, None))
-        wrong = str((int(v["creditCard"][-1]) + 1 + rng.randrange(9)) % 10)
-        if wrong != v["creditCard"][-1]:
-            out.append(("creditCard", v["creditCard"][:-1] + wrong, False, "luhn"))
-        head = rng.choice("12") + "".join(str(rng.randrange(10)) for _ in range(8))
-        out.append(("npi", head + luhn_digit("80840" + head), True, None))
-        d = [rng.randrange(10) for _ in range(6)]
-        check = (d[0] + d[2] + d[4] + 2 * (d[1] + d[3] + d[5])) % 10
-        out.append(("dea", "AB" + "".join(map(str, d)) + str(check), True, None))
-        out.append(("dea", "AB" + "".join(map(str, d)) + str((check + 1) % 10), False, "checksum"))
-    for area, reason in (("000", "area_000"), ("666", "area_666"), ("900", "area_900_999"), ("999", "area_900_999")):
-        out.append(("ssn", f"{area}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}", False, reason))
-    return [*out, ("ssn", "123-00-1234", False, "group_00"), ("ssn", "123-45-0000", False, "serial_0000"), ("ssn", "078-05-1120", False, "literal_078_05_1120"), ("ssn", "111-11-1111", False, "all_same_digit")]
-
-
-def bca_interval(values: list, stat, resamples: int = RESAMPLES, seed: int = SEED) -> tuple[float, float] | None:
-    """Bias-corrected and accelerated bootstrap interval of 95 %; none for fewer than two."""
-    n = len(values)
-    if n < 2:
+def draws(n: int, count: int, seed: int) -> Iterator[np.ndarray]:
+    """What ``count`` calls of ``random.Random(seed).randrange(n)`` give, in blocks: the same
+    words of the same generator, shifted and rejected alike, for all calls at once."""
+    bits = n.bit_length()
+    if not 0 < bits <= 32:
+        raise ValueError("n is from 1 to 2**32 - 1")
+    words = np.random.MT19937()
+    key = random.Random(seed).getstate()[1]
+    words.state = {"bit_generator": "MT19937", "state": {"key": np.array(key[:-1], np.uint32), "pos": key[-1]}}
+    while count:
+        got = words.random_raw(min(CHUNK, 2 * count + 64)).astype(np.uint32) >> np.uint32(32 - bits)
+        got = got[got < n][:count]
+        count -= len(got)
+        yield got.astype(np.int64)
+
+
+def resampled_sums(values: np.ndarray, resamples: int, seed: int) -> np.ndarray:
+    """Column sums of ``resamples`` samples of the rows, with replacement."""
+    n, out = len(values), np.zeros((resamples, values.shape[1]))
+    done = 0
+    for block in draws(n, n * resamples, seed):
+        sample = (done + np.arange(len(block))) // n
+        for c in range(values.shape[1]):
+            out[:, c] += np.bincount(sample, values[block, c], resamples)
+        done += len(block)
+    return out
+
+
+def f1_of_sums(sums: np.ndarray) -> np.ndarray:
+    """F1 of rows of summed (tp, fp, fn); precision is 1 where nothing fired."""
+    tp, fp, fn = sums.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, r = np.where(tp + fp > 0, tp / (tp + fp), 1.0), np.where(tp + fn > 0, tp / (tp + fn), 0.0)
+        return np.where(p + r > 0, 2 * p * r / (p + r), 0.0)
+
+
+def bca_interval(values: np.ndarray, stat=f1_of_sums, resamples: int = RESAMPLES, seed: int = SEED) -> tuple[float, float] | None:
+    """Bias-corrected and accelerated bootstrap interval of 95 % of a statistic of column
+    sums; none for fewer than two rows."""
+    values = np.asarray(values, float)
+    if len(values) < 2:
         return None
-    seen, rng = stat(values), random.Random(seed)
-    drawn = sorted(stat([values[rng.randrange(n)] for _ in range(n)]) for _ in range(resamples))
+    total = values.sum(0)
+    seen = float(stat(total[None, :])[0])
+    drawn = np.sort(stat(resampled_sums(values, resamples, seed)))
     if drawn[0] == drawn[-1]:
         return seen, seen
     normal = NormalDist()
-    share = sum(x < seen for x in drawn) / resamples
+    share = (drawn < seen).sum() / resamples
     bias = normal.inv_cdf(min(max(share, 1.0 / (resamples + 1)), resamples / (resamples + 1)))
-    left_out = [stat(values[:i] + values[i + 1 :]) for i in range(n)]
-    mean = sum(left_out) / n
-    spread = sum((mean - x) ** 2 for x in left_out)
-    skew = sum((mean - x) ** 3 for x in left_out) / (6.0 * spread**1.5) if spread else 0.0
+    apart = stat(total - values)
+    apart = apart.mean() - apart
+    spread = (apart**2).sum()
+    skew = (apart**3).sum() / (6.0 * spread**1.5) if spread else 0.0
 
     def end(alpha: float) -> float:
         z = bias + normal.inv_cdf(alpha)
         p = normal.cdf(bias + z / (1 - skew * z))
-        return drawn[min(max(int(p * resamples), 0), resamples - 1)]
+        return float(drawn[min(max(int(p * resamples), 0), resamples - 1)])
 
     return end(0.025), end(0.975)
 
 
-def pooled_f1(docs: list[tuple[int, int, int]]) -> float:
-    """F1 of summed (tp, fp, fn); precision is 1 where nothing fired."""
-    tp, fp, fn = (sum(d[i] for d in docs) for i in range(3))
-    p, r = (tp / (tp + fp) if tp + fp else 1.0), (tp / (tp + fn) if tp + fn else 0.0)
-    return 2 * p * r / (p + r) if p + r else 0.0
-
-
 def bca_by_pool(rows: DataFrame, pool: str, order: str) -> DataFrame:
-    """Interval of the pooled F1 over the documents (tp, fp, fn) of each pool."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        docs = list(zip(pdf["tp"].tolist(), pdf["fp"].tolist(), pdf["fn"].tolist(), strict=True))
-        found = bca_interval(docs, pooled_f1)
-        return pd.DataFrame({pool: [pdf[pool].iat[0]], "n": [len(docs)], "f1": [pooled_f1(docs)], "low": [found[0] if found else None], "high": [found[1] if found else None]})
-
-    return rows.groupBy(pool).applyInPandas(run, f"{pool} string, n long, f1 double, low double, high double")
+    """Interval of the pooled F1 over the documents (tp, fp, fn) of each pool. The seeded
+    stream runs over a pool's documents in their order, so a pool is one task: 24 bytes a
+    document, and its resamples in blocks."""
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by(order)
+        docs = np.stack([part[c].to_numpy() for c in ("tp", "fp", "fn")], axis=1)
+        found = bca_interval(docs) or (None, None)
+        f1 = float(f1_of_sums(docs.sum(0, keepdims=True).astype(float))[0])
+        return pa.table({pool: part[pool][:1], "n": pa.array([len(docs)], pa.int64()), "f1": [f1], "low": pa.array([found[0]], pa.float64()), "high": pa.array([found[1]], pa.float64())})
+
+    return rows.select(pool, order, "tp", "fp", "fn").groupBy(pool).applyInArrow(run, f"{pool} string, n long, f1 double, low double, high double")

@@ -129,10 +129,10 @@ def folder_sizes(files: DataFrame) -> DataFrame:
     return g.select(F.when(F.col("_all") == 1, "*").otherwise(F.col("folder")).alias("folder"), "n_files", "bytes")
 
 
-def files_fingerprint(files: DataFrame) -> DataFrame:
-    """SHA-256 over (path, size, digest, source) of files in order of path, fields and rows
-    ended by NUL. A file is one short line, so some 10**6 fit in the row."""
-    line = F.concat(*(F.concat(F.col(c).cast("string"), F.lit("\0")) for c in ("rel_path", "bytes", "sha256", "source")))
+def files_fingerprint(files: DataFrame, end: str = "\0") -> DataFrame:
+    """SHA-256 over (path, size, digest, source) of files in order of path, each field ended by
+    NUL. A file is one short line, so some 10**6 fit in the row."""
+    line = F.concat(*(F.concat(F.col(c).cast("string"), F.lit(end)) for c in ("rel_path", "bytes", "sha256", "source")))
     return files.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rel_path", line.alias("l")))), lambda x: x["l"]), "").cast("binary"), 256).alias("digest"), F.count("*").alias("n_files"))
 
 

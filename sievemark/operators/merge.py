@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import in_ranges, sorted_digest
+from .ordered import in_ranges, sorted_digest, streamed_digest
 
 #: The demographic labels, in the order that breaks ties, and the plurality bound.
 DEMOGRAPHICS = ("white", "black", "asian", "ai_an", "hispanic", "unlabeled")
@@ -44,10 +44,9 @@ def zero_filled(counts: DataFrame, axis: str, labels: tuple[str, ...], value: st
 
 
 def keys_digest(keys: DataFrame, key: str) -> DataFrame:
-    """SHA-256 of the sorted distinct keys joined by line feeds, for key sets that
-    fit in a row (up to some 10**6 keys)."""
-    joined = F.array_join(F.array_sort(F.collect_set(key)), "\n")
-    return keys.agg(F.sha2(joined.cast("binary"), 256).alias("digest"), F.countDistinct(key).alias("n_keys"))
+    """(digest, n_keys): SHA-256 of the sorted distinct keys joined by line feeds. The bytes
+    pass through the driver in order, range after range; ``tree_digest`` needs none of it."""
+    return keys.sparkSession.createDataFrame([streamed_digest(keys, key)], "digest string, n_keys long")
 
 
 def tree_digest(keys: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,8 @@ its own, and what goes over range ends is one row a range.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +61,18 @@ def ordinals(rows: DataFrame, group: list[str], order: list[str], name: str = "o
     return placed.withColumn("_own", F.row_number().over(own) - 1).join(starts, [*group, "_range"]).withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")
 
 
+def streamed_digest(keys: DataFrame, key: str) -> tuple[str, int]:
+    """(SHA-256, count) of the sorted distinct keys joined by line feeds. A SHA-256 is taken in
+    order, so the ranges come to the driver one after another, and one is held at a time."""
+    placed = in_ranges(keys.select(F.col(key).cast("string").alias("k")).where("k IS NOT NULL").distinct(), ["k"], ranges=4 * RANGES)
+    joined = placed.groupBy("_range").agg(F.array_join(F.array_sort(F.collect_list("k")), "\n").alias("t"), F.count("*").alias("n"))
+    digest, total = hashlib.sha256(), 0
+    for r in joined.orderBy("_range").toLocalIterator():
+        digest.update(("\n" if total else "").encode() + r["t"].encode())
+        total += r["n"]
+    return digest.hexdigest(), total
+
+
 def sorted_digest(keys: DataFrame, key: str) -> DataFrame:
     """(digest, n_keys): SHA-256 over the digests of the ranges of the sorted distinct keys,
     each of its keys joined by line feeds. One range is in one row, of bounded share."""
