@@ -194,8 +194,9 @@ def _itins(rng: random.Random) -> list[tuple[str, str | None]]:
     return [(itin(rng), None) for _ in range(20)] + [(f"9{shaped(rng, '##')}-{y:02d}-{shaped(rng, '####')}", "yy_out_of_range") for y in outside[::5]] + [("812-70-1234", "shape")]
 
 
-def _labelled(shapes: tuple[str, ...], bad: tuple[str, ...]) -> Callable[[random.Random], list[tuple[str, str | None]]]:
-    return lambda rng: [(shaped(rng, s), None) for s in shapes for _ in range(6)] + [(b, "shape") for b in bad]
+def _labelled(shapes: dict[str, str], bad: tuple[str, ...]) -> Callable[[random.Random], list[tuple[str, str | None]]]:
+    """Vectors of a label and, after it, a shape."""
+    return lambda rng: [(label + shaped(rng, s), None) for label, s in shapes.items() for _ in range(6)] + [(b, "shape") for b in bad]
 
 
 #: Vector families: (value, reason to reject it or none) lists.
@@ -204,11 +205,11 @@ VECTORS: dict[str, Callable[[random.Random], list[tuple[str, str | None]]]] = {
     "ein": lambda rng: [(ein(rng), None) for _ in range(20)] + [("123456789", "shape"), ("1-2345678", "shape")],
     "phone": lambda rng: [(phone(rng), None) for _ in range(10)] + [(shaped(rng, s), None) for s in ("2##-555-####", "2##.555.####", "+1 2##-555-####", "2##555####")] + [(b, "shape") for b in ("555-0100", "12-345-6789", "21255501001")],
     "email": lambda rng: [(email(rng), None) for _ in range(10)] + [("a+b@mail.example.org", None), ("x_y%z@ex-ample.co", None)] + [(b, "shape") for b in ("no-at.example.com", "a@b", "@example.com")],
-    "mrn": _labelled(("MRN: #######", "MR# XXXXX", "MRN XXXXXXXXXXXX"), ("MRN: ####", "M: 1234567")),
-    "driversLicense": _labelled(("DL A#######", "Driver's License: ########", "Driver Lic # ######"), ("DL 12", "license A1234567")),
-    "passport": _labelled(("Passport A########", "Passport No: AA######", "PP # A######"), ("Passport 12345678", "A12345678")),
-    "licensePlate": _labelled(("Plate: AAA-####", "License Plate XXX XXXX", "Tag #AA XXX"), ("ABC-1234", "Plate: A")),
-    "bates": _labelled(("AAA-######", "AAAAA_########", "A ####"), ("-123456", "ABC-123")),
+    "mrn": _labelled({"MRN: ": "#######", "MR# ": "XXXXX", "MRN ": "XXXXXXXXXXXX"}, ("MRN: 1234", "M: 1234567")),
+    "driversLicense": _labelled({"DL ": "A#######", "Driver's License: ": "########", "Driver Lic # ": "######"}, ("DL 12", "license A1234567")),
+    "passport": _labelled({"Passport ": "A########", "Passport No: ": "AA######", "PP # ": "A######"}, ("Passport 12345678", "A12345678")),
+    "licensePlate": _labelled({"Plate: ": "AAA-####", "License Plate ": "XXX XXXX", "Tag #": "AA XXX"}, ("ABC-1234", "Plate: A")),
+    "bates": _labelled({"": "AAA-######", " ": "AAAAA_########", "  ": "A ####"}, ("-123456", "ABC-123")),
 }
 
 

@@ -26,8 +26,16 @@ def session(app: str = "sievemark", master: str | None = None, **conf: str) -> S
     return builder.config(map=settings).getOrCreate()
 
 
+#: Rows in an Arrow batch: texts may be long, and each task holds some batches outside the heap.
+ARROW_ROWS = 2_000
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python workers, once for an application."""
+    """Send this package to the executors' Python workers, once for an application, and keep
+    the session's Arrow batches small (a smaller setting of its own stays)."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)

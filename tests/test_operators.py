@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import context, detectors, text
 from sievemark.functions import validators as V
-from sievemark.operators import bloom, calibration, evaluation, gazetteer, generate, integrity, merge, spans
+from sievemark.operators import bloom, calibration, corpus, evaluation, gazetteer, generate, hostile, integrity, merge, spans, values
 from sievemark.sources import readers, sinks
 
 
@@ -159,8 +159,8 @@ def test_calibration():
     w = calibration.newton_logistic(x, y, 1.0)
     grad = np.hstack([x, np.ones((200, 1))]).T @ (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y) + np.append(w[:-1], 0)
     assert np.abs(grad).max() < 1e-6
-    t, steps = calibration.golden_section(lambda v: (v - 3.3) ** 2)
-    assert abs(t - 3.3) < 1e-5 and steps < calibration.T_ROUNDS
+    separable = calibration.newton_logistic(np.array([[-2.0], [-1.0], [1.0], [2.0]]), np.array([0.0, 0.0, 1.0, 1.0]), 0.5)
+    assert np.isfinite(separable).all() and separable[0] > 0
 
 
 #: Hand-computed feature vectors.
@@ -178,15 +178,106 @@ def test_context_features(case):
     assert context.features(*case[:6]) == pytest.approx(case[6])
 
 
-def test_generated_corpus(spark):
-    planned = generate.plan(spark, {"court": 12, "foia": 9})
-    docs = generate.corpus(planned)
-    assert generate.assembly_violations(docs).count() == 0
-    again = generate.corpus(planned.repartition(3))
-    assert docs.exceptAll(again).count() == 0 and docs.count() == 21
-    assert generate.bca_interval([(1, 0, 0)], generate.pooled_f1) is None
-    low, high = generate.bca_interval([(3, 1, 0), (1, 1, 1), (5, 0, 2), (2, 2, 2)], generate.pooled_f1)
-    assert 0 < low < high < 1
+@pytest.mark.parametrize("profile", corpus.PROFILES)
+def test_generated_corpus(spark, profile):
+    planned = corpus.plan(spark, {"court": 12, "foia": 9, "financial": 12, "medical": 5, "generic": 5})
+    docs = corpus.corpus(planned, profile).cache()
+    assert corpus.assembly_violations(docs).count() == 0
+    again = corpus.corpus(planned.repartition(3), profile)
+    assert docs.exceptAll(again).count() == 0 and docs.count() == 43
+    rows = {r.id: r for r in docs.collect()}
+    plain = {r.id: r for r in corpus.corpus(planned).collect()}
+    assert {r.template for r in rows.values()} == set(corpus.TEMPLATES)
+    for i, r in rows.items():  # a profile moves names, and addresses under G, and nothing else
+        moved = {"name"} | ({"address"} if "G" in corpus.PROFILES[profile] else set())
+        assert [(s.category, s.value) for s in r.pii_spans if s.category not in moved] == [(s.category, s.value) for s in plain[i].pii_spans if s.category not in moved]
+        assert bool(r.furniture) == ("D" in corpus.PROFILES[profile])
+        assert {s.tier for s in r.pii_spans if s.expected_outcome == "suppress"} <= {"must_not"}
+        assert ("[REDACTED]" in r.text) <= ("H" not in corpus.PROFILES[profile])
+    if "A" in corpus.PROFILES[profile]:
+        assert len({s.form for r in rows.values() for s in r.pii_spans if s.category == "name"}) > 2
+
+
+def test_assembly_rules_are_checked(spark):
+    span = lambda a, b, v: (("x", a, b, v, "must", "redact", "none", None, None))
+    good = [span(i, i + 1, "abcdefgh"[i]) for i in range(5)]
+    rows = [("ok", "abcdefgh", good, [(6, 8, "label")], ["decoy"]), ("few", "abcdefgh", good[:2], [], []), ("over", "abcdefgh", [*good, span(4, 6, "ef")], [], []), ("read", "abcdefgh", [*good, span(6, 7, "x")], [], []), ("tag", "abcdefgh", good, [], ["odd"]), ("out", "abcdefgh", good, [(7, 9, "label")], []), ("on", "abcdefgh", good, [(4, 6, "label")], [])]
+    docs = spark.createDataFrame(rows, f"id string, text string, pii_spans {corpus.SPAN_TYPE}, furniture {corpus.FURNITURE_TYPE}, tags array<string>")
+    assert sorted(map(tuple, corpus.assembly_violations(docs).collect())) == [("few", "count"), ("on", "furniture_on_span"), ("out", "furniture"), ("over", "overlap"), ("read", "value"), ("tag", "tag")]
+
+
+def test_values_and_bootstrap(spark):
+    from sievemark.plans import QUERIES
+
+    judged = QUERIES["vector_families"](spark, "").collect()
+    assert {r.family for r in judged} == set(values.VECTORS) and len(values.VECTORS) == 15
+    assert [r for r in judged if r.n != r.n_alike] == []
+    assert len(values.FAMILIES) == 17
+    for n in (1, 5, 7, 1000, 65_536):
+        rng = random.Random(9)
+        assert np.concatenate(list(generate.draws(n, 500, 9))).tolist() == [rng.randrange(n) for _ in range(500)]
+    assert generate.bca_interval([(1, 0, 0)]) is None
+    docs = [(3, 1, 0), (1, 1, 1), (5, 0, 2), (2, 2, 2)]
+    rng, f1 = random.Random(generate.SEED), lambda xs: 2 * sum(x[0] for x in xs) / (2 * sum(x[0] for x in xs) + sum(x[1] + x[2] for x in xs))
+    drawn = sorted(f1([docs[rng.randrange(4)] for _ in range(4)]) for _ in range(generate.RESAMPLES))
+    assert np.allclose(np.sort(generate.f1_of_sums(generate.resampled_sums(np.array(docs, float), generate.RESAMPLES, generate.SEED))), drawn)
+    low, high = generate.bca_interval(docs)
+    assert drawn[0] <= low < f1(docs) < high <= drawn[-1]
+    names = {f: values.name_form(("Ada", "Q", "Elm"), f, "Jr.") for f in values.FORMS}
+    assert names == {"full": "Ada Elm", "initial": "Ada Q. Elm", "last_first": "Elm, Ada", "all_caps": "ADA ELM", "suffix": "Ada Elm Jr.", "particled": "Ada Jr. Elm"}
+    with pytest.raises(ValueError, match="at least 0"):
+        corpus.plan(spark, seed=-1)
+    source = b"%PDF-1.4\n/Length 5\nxref\n0000000009 00000 n \nstartxref\n20\n"
+    made = {r.id: bytes(r.content) for r in hostile.mutations(spark, source, 3, 16).collect()}
+    assert len(made) == 16 and {i.rsplit("_", 1)[0] for i in made} == set(hostile.KINDS) and source not in made.values()
+    assert made == {r.id: bytes(r.content) for r in hostile.mutations(spark, source, 3, 16).repartition(5).collect()}
+    with pytest.raises(ValueError, match="PDF"):
+        hostile.mutations(spark, b"no", 3)
+    assert {r.category for r in hostile.adversarial(spark).collect()} == set(hostile.PATTERN_KINDS)
+
+
+def test_fits_in_passes_equal_fits_in_memory(spark):
+    rng = np.random.default_rng(3)
+    z = rng.standard_normal((400, 5)) * 3
+    y = np.array([rng.choice(5, p=np.exp(r / 2.0 - (r / 2.0).max()) / np.exp(r / 2.0 - (r / 2.0).max()).sum()) for r in z])
+    rows = spark.createDataFrame([("a" if i % 2 else "b", v.tolist(), int(k)) for i, (v, k) in enumerate(zip(z, y))], "part string, logits array<double>, label int").repartition(5)
+    got = {r.part: r for r in calibration.fit_temperature(rows, "logits", "label", "part").collect()}
+    for part, i in (("b", 0), ("a", 1)):
+        grid = np.linspace(0.5, 6, 20_001)
+        best = grid[calibration.losses(z[i::2], y[i::2], grid).argmin()]
+        assert abs(got[part].temperature - best) < 5e-4 and got[part].n == 200 and got[part].nll_after <= got[part].nll_before
+    x = rng.standard_normal((500, 3)) * [1, 5, 0.1] + [0, 2, 1]
+    hit = (rng.random(500) < 1 / (1 + np.exp(-x[:, 0]))).astype(int)
+    rows = spark.createDataFrame([("one" if i < 20 else "f", v.tolist(), 1 if i < 20 else int(h), i) for i, (v, h) in enumerate(zip(x, hit))], "family string, features array<double>, label int, event_id long").repartition(4)
+    fits = {r.family: r for r in calibration.fit_scorers(rows, "family", "features", "label", "event_id", seed=5).collect()}
+    assert (fits["one"].w_family, fits["one"].weights) == (0.0, [0.0] * 3)
+    own, labels = x[20:], hit[20:].astype(float)
+    std = (own - own.mean(0)) / own.std(0)
+    fold = (np.arange(480) * 2654435761 + 5) % calibration.FOLDS
+    lost = {l2: sum(calibration.logistic_loss(std[fold == k], labels[fold == k], calibration.newton_logistic(std[fold != k], labels[fold != k], l2)) for k in range(5)) for l2 in calibration.L2_GRID}
+    l2 = min(lost, key=lambda v: (lost[v], -v))
+    assert fits["f"].l2 == l2 and fits["f"].w_family == 1.0 and fits["f"].n == 480
+    assert np.allclose([*fits["f"].weights, fits["f"].bias], calibration.newton_logistic(std, labels, l2), atol=1e-7)
+    assert calibration.fit_scorers(rows, "family", "features", "label", "event_id", promote=("phone",)).where("w_family > 0").count() == 0
+
+
+def test_walks_and_ranges_at_size(spark):
+    nodes = spark.range(1, 200_001).select("id", F.floor(F.col("id") / 2).alias("up"))
+    got = gazetteer.roots(nodes, "id", "up")
+    assert got.agg(F.max("root"), F.max("depth"), F.count("*")).first()[:] == (0, 17, 200_000)
+    loop = spark.createDataFrame([(1, 2), (2, 1), (3, 9), (4, None)], "c int, p int")
+    assert {r.node: (r.root, r.depth) for r in gazetteer.roots(loop, "c", "p").collect()} == {1: (2, 32), 2: (1, 32), 3: (9, 0), 4: (None, 0)}
+    keys = spark.range(30_000).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("k"))
+    placed = integrity.shard_of(keys, "k", 1_000, 100).orderBy("k").collect()
+    assert [r.shard for r in placed] == [i // 1_000 for i in range(30_000)]
+    plan = integrity.shard_of(keys, "k", 1_000, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_range" in line for line in plan.splitlines() if "Window [" in line)
+    rows = spark.range(20_000).select((F.floor(F.col("id") / 100) % 150).alias("k"), "id")
+    assert sorted(r.k for r in merge.broken_runs(rows, "k", "id").collect()) == list(range(50))
+    import hashlib
+
+    want = hashlib.sha256("\n".join(sorted(hashlib.sha1(str(i).encode()).hexdigest() for i in range(30_000))).encode()).hexdigest()
+    assert merge.keys_digest(keys, "k").first()[:] == (want, 30_000)
 
 
 def test_integrity(spark):
