@@ -238,3 +238,13 @@ def merge_rates(merges: DataFrame, group: list[str], digits: int = 6) -> DataFra
     every = merges.select(*group).distinct().withColumn("bucket", F.explode(names))
     filled = every.join(counts, [*group, "bucket"], "left").fillna(0, ["rows", "decided", "n_merged"])
     return filled.withColumn("rate", F.when(F.col("decided") > 0, F.round(F.col("n_merged") / F.col("decided"), digits)))
+
+
+def text_twins(judged: DataFrame) -> DataFrame:
+    """(doc_id, occ_id, strict) of the occurrences that a text leg measured."""
+    return judged.where("leg = 'text'").select("doc_id", "occ_id", "strict")
+
+
+def report_order(rows: DataFrame) -> DataFrame:
+    """Rows (document, leg) in the order of reports, for a sink."""
+    return rows.orderBy("document", leg_rank(F.col("leg")), "leg")

@@ -203,3 +203,12 @@ def cell_mismatches(a: DataFrame, b: DataFrame, key: list[str], counters: list[s
     both = long(a, "left_n").join(long(b, "right_n"), [*key, "counter"], "full_outer")
     both = both.select(*key, "counter", F.coalesce("left_n", F.lit(0)).alias("left_n"), F.coalesce("right_n", F.lit(0)).alias("right_n"))
     return both.where("left_n != right_n")
+
+
+def site_summary(block: DataFrame, key: list[str]) -> DataFrame:
+    """The scalars of a metric block that two sites are compared by, and its tiers as structs."""
+    scalars = ("support_n", "detections_n", "precision", "recall", "f1", "f2", "decoy_fp_rate", "precision_with_decoys", "low_confidence")
+    scored = [F.struct(*(F.col(f"tier_{t}_{c}").alias(c) for c in ("total", "covered")), *(F.col(f"{t}_{c}").alias(c) for c in ("recall", "precision", "f1", "f2"))).alias(t) for t in ("must", "should")]
+    watch = F.struct(F.col("tier_watch_total").alias("total"), F.col("tier_watch_covered").alias("covered"), F.col("watch_covered_rate").alias("covered_rate")).alias("watch")
+    must_not = F.struct(F.col("tier_must_not_total").alias("total"), F.col("tier_must_not_fired").alias("fired"), F.col("must_not_fire_rate").alias("fire_rate")).alias("must_not")
+    return block.select(*key, *scalars, F.struct(*scored, watch, must_not).alias("per_tier"))

@@ -16,6 +16,26 @@ STRIP_SUFFIXES = (
 )
 FINANCIAL_WORDS = ("bank", "bancorp", "bancshares", "financial", "finance", "capital", "insurance", "securities", "invest", "asset", "holdings", "trust", "mortgage", "credit")
 
+#: Phrases that a description of a mechanism must not use.
+BANNED_PHRASES = (
+    "guaranteed", "guarantees", "ensures", "securely removes", "100%", "impossible to recover", "military-grade", "bank-level", "certified", "structurally impossible", "the only provably secure approach",
+    "destroy-level sanitization per nist", "mathematically irreversible", "security invariant", "provably reliable", "your data is safe", "no one can recover", "fully secure", "completely secure", "absolutely safe", "tamper-proof", "unhackable",
+)
+#: The shapes of passport numbers by issuer.
+PASSPORT_PATTERNS = {
+    "CA": ["^[A-Z]{2}[0-9]{6}$", "^[A-Z][0-9]{6}[A-Z]{2}$"],
+    "CN": ["^(?:G[0-9]{8}|E[0-9]{8}|E[A-HJ-NP-Z][0-9]{7})$"],
+    "DO": ["^[A-Z]{3}[0-9]{6}$"],
+    "GB": ["^[0-9]{9}$"],
+    "IN": ["^[A-PR-WY][1-9][0-9]{5}[1-9]$", "^[A-Z][0-9]{7}$"],
+    "KR": ["^[MSROD][0-9]{8}$", "^[MSROD][0-9]{3}[A-Z][0-9]{4}$"],
+    "MX": ["^[A-Z][0-9]{8}$"],
+    "PH": ["^[A-Z]{2}[0-9]{7}$", "^[A-Z][0-9]{7}[A-Z]$"],
+    "SV": ["^[A-Z0-9]{9}$"],
+    "US": ["^[0-9]{9}$", "^[A-Z][0-9]{8}$"],
+    "VN": ["^[A-Z][0-9]{8}$"],
+}
+
 
 def strip_suffix(name: Column) -> Column:
     """``name`` without the first listed suffix that it ends with."""

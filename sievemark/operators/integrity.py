@@ -166,3 +166,16 @@ def installed(sources: DataFrame, present: DataFrame, guarded: tuple[str, ...],
     less = F.col("rel_path").isin(*guarded) & (F.col("entries") < F.col("_had")) & ~F.lit(allow_shrink)
     refuse = F.raise_error(F.concat(F.lit("would shrink: "), "rel_path"))
     return both.select(F.when(F.coalesce(less, F.lit(False)), refuse).otherwise(F.col("rel_path")).alias("rel_path"), "entries", "sha256")
+
+
+def content_manifest(files: DataFrame) -> DataFrame:
+    """(line) ``<sha256>  <path>`` of files in order of path, as a stamp keeps them."""
+    return files.orderBy("rel_path").select(F.concat("sha256", F.lit("  "), "rel_path").alias("line"))
+
+
+def content_changed(files: DataFrame, stamp: DataFrame) -> bool:
+    """Whether files are not those of a stamp (line); a stamp that cannot be read as one counts
+    as changed."""
+    said = stamp.select(F.regexp_extract("line", r"^([0-9a-f]{64})  (.+)$", 1).alias("sha256"), F.regexp_extract("line", r"^([0-9a-f]{64})  (.+)$", 2).alias("rel_path"))
+    odd = said.where("sha256 = ''").limit(1).count() > 0
+    return odd or hash_diff(said, files, "rel_path", "sha256").limit(1).count() > 0

@@ -135,14 +135,21 @@ def median_run(runs: DataFrame, group: list[str], score: str, index: str) -> Dat
     return ranked.where(F.col("_rn") == F.floor(F.col("n_runs") / 2) + 1).drop("_rn")
 
 
-def sidecar_violations(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, family, start, end, tier, outcome, det_start, det_end) that
-    break a rule, with the first rule broken."""
+#: The keys of a sidecar row, those that may be absent last.
+SIDECAR_KEYS, SIDECAR_MORE = ("doc_id", "family", "start", "end", "outcome"), ("tier", "det_start", "det_end", "det_spans")
+
+
+def sidecar_violations(rows: DataFrame, families: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows (doc_id, family, start, end, tier, outcome, det_start, det_end[, det_spans]) that
+    break a rule, with the first rule broken. ``det_spans``, ordered (start, end) pairs that
+    each meet the span, have [det_start, det_end) as their hull."""
     tier, outcome = F.col("tier"), F.col("outcome")
     fired = F.col("det_start").isNotNull()
+    rule = F.when(~((F.col("start") >= 0) & (F.col("start") < F.col("end"))), "bounds")
+    if families:
+        rule = rule.when(~F.col("family").isin(*families), "family")
     rule = (
-        F.when(~((F.col("start") >= 0) & (F.col("start") < F.col("end"))), "bounds")
-        .when(~outcome.isin("tp", "fp", "fn", "tn"), "outcome")
+        rule.when(~outcome.isin("tp", "fp", "fn", "tn"), "outcome")
         .when(fired != F.col("det_end").isNotNull(), "half_detection")
         .when(outcome.isin("tp", "fn") & ~F.coalesce(tier.isin("must", "should", "watch"), F.lit(False)), "tier")
         .when((outcome == "tn") & ~F.coalesce(tier == "must_not", F.lit(False)), "tier")
@@ -151,6 +158,17 @@ def sidecar_violations(rows: DataFrame) -> DataFrame:
         .when((outcome == "fp") & (tier.isNull() == fired), "detection")
         .when(fired & ~overlap(F.col("start"), F.col("end"), F.col("det_start"), F.col("det_end")), "no_overlap")
     )
+    if "det_spans" in rows.columns:
+        pairs = F.coalesce("det_spans", F.array().cast(rows.schema["det_spans"].dataType))
+        outside = F.exists(pairs, lambda p: ~((p["start"] < p["end"]) & overlap(F.col("start"), F.col("end"), p["start"], p["end"])))
+        hull = (F.array_min(F.transform(pairs, lambda p: p["start"])) != F.col("det_start")) | (F.array_max(F.transform(pairs, lambda p: p["end"])) != F.col("det_end"))
+        rule = (
+            rule.when(F.coalesce(fired & tier.isNotNull() & (F.size(pairs) == 0), F.lit(False)), "no_spans")
+            .when(outside, "span_outside")
+            .when(F.size(pairs) != F.size(F.array_distinct(pairs)), "span_order")
+            .when(F.array_sort(pairs) != pairs, "span_order")
+            .when((F.size(pairs) > 0) & F.coalesce(hull, F.lit(True)), "hull")
+        )
     return rows.withColumn("rule", rule).where(F.col("rule").isNotNull())
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import detectors as D
 from ..functions import validators as V
+from ..operators import gazetteer as G
 from .registry import query, table
 
 _EMAIL_RE2 = r"[a-zA-Z0-9_%+-]+(?:\.[a-zA-Z0-9_%+-]+)*@(?:[a-zA-Z0-9](?:[a-zA-Z0-9.-]*[a-zA-Z0-9])?)\.[a-zA-Z]{2,}"
@@ -187,8 +188,7 @@ def email_domain_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses by what a repository guard would say of their domain."""
     pattern = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
     found = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("v"))
-    domain = F.lower(F.regexp_extract("v", "@([^@]*)$", 1))
-    verdict = F.when(domain.isin(*_DOMAINS["allowed"]), "allowed").when(domain.isin(*_DOMAINS["personal"]), "failure").otherwise("warning")
+    verdict = G.domain_verdict(F.col("v"), _DOMAINS["allowed"], _DOMAINS["personal"])
     return found.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n_hits"), F.countDistinct("v").alias("n_addresses"), F.countDistinct("doc_id").alias("n_docs"))
 
 
@@ -202,5 +202,16 @@ def issuer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     number = lambda n: F.lpad(k.cast("string"), n, "0")
     value = F.when(k % 4 == 0, F.concat(F.lit("A"), number(7))).when(k % 4 == 1, number(8)).when(k % 4 == 2, F.concat(F.lit("AB"), number(6))).otherwise(F.concat(F.lit("x"), k.cast("string")))
-    accepted = F.array_compact(F.array(*(F.when(value.rlike("|".join(f"(?:{p})" for p in ps)), state) for state, ps in patterns.items())))
-    return table(spark, sf_dir, "supplier").select(F.explode(accepted).alias("state")).groupBy("state").agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "supplier").select(F.explode(G.accepted_by(value, patterns)).alias("state")).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH v AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'A' || lpad(p_partkey::VARCHAR, 8, '0') WHEN 1 THEN lpad(p_partkey::VARCHAR, 9, '0') WHEN 2 THEN 'AB' || lpad(p_partkey::VARCHAR, 6, '0') WHEN 3 THEN 'M' || lpad(p_partkey::VARCHAR, 7, '1') ELSE 'x' || p_partkey END AS value FROM part),
+p(issuer, pattern) AS (VALUES ('CA', '^[A-Z]{2}[0-9]{6}$'), ('CA', '^[A-Z][0-9]{6}[A-Z]{2}$'), ('CN', '^(?:G[0-9]{8}|E[0-9]{8}|E[A-HJ-NP-Z][0-9]{7})$'), ('DO', '^[A-Z]{3}[0-9]{6}$'), ('GB', '^[0-9]{9}$'), ('IN', '^[A-PR-WY][1-9][0-9]{5}[1-9]$'), ('IN', '^[A-Z][0-9]{7}$'), ('KR', '^[MSROD][0-9]{8}$'), ('KR', '^[MSROD][0-9]{3}[A-Z][0-9]{4}$'), ('MX', '^[A-Z][0-9]{8}$'), ('PH', '^[A-Z]{2}[0-9]{7}$'), ('PH', '^[A-Z][0-9]{7}[A-Z]$'), ('SV', '^[A-Z0-9]{9}$'), ('US', '^[0-9]{9}$'), ('US', '^[A-Z][0-9]{8}$'), ('VN', '^[A-Z][0-9]{8}$'))
+SELECT issuer, count(DISTINCT p_partkey) AS n FROM v JOIN p ON regexp_matches(value, pattern) GROUP BY 1""")
+def passport_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values each passport issuer's shapes accept."""
+    k = F.col("p_partkey")
+    number = lambda n, fill="0": F.lpad(k.cast("string"), n, fill)
+    value = F.when(k % 5 == 0, F.concat(F.lit("A"), number(8))).when(k % 5 == 1, number(9)).when(k % 5 == 2, F.concat(F.lit("AB"), number(6))).when(k % 5 == 3, F.concat(F.lit("M"), number(7, "1"))).otherwise(F.concat(F.lit("x"), k.cast("string")))
+    return table(spark, sf_dir, "part").select(F.explode(G.accepted_by(value, G.PASSPORT_PATTERNS)).alias("issuer")).groupBy("issuer").agg(F.count("*").alias("n"))

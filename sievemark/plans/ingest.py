@@ -154,10 +154,11 @@ def token_hits_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.capped_hits(table(spark, sf_dir, "documents"), tokens(F.col("text")), F.broadcast(words))
 
 
-_PHRASES = ("the and", "of the", "to the", "in der", "100%")
+_PHRASES = ("the and", "of the", "to the", "in der", "100%", "guaranteed", "tamper-proof")
 
 
-@query("WITH " + ", ".join(f"p{i} AS (SELECT '{p}' AS phrase, sum(length(text) - length(text)) + sum(len(regexp_extract_all(text, '{G.phrase_pattern(p).replace(chr(92) + ' ', ' ')}'))) AS n, count(*) FILTER (WHERE regexp_matches(text, '{G.phrase_pattern(p)}')) AS n_docs FROM documents)" for i, p in enumerate(_PHRASES)) + " " + " UNION ALL ".join(f"SELECT phrase, n::BIGINT AS n, n_docs FROM p{i}" for i in range(len(_PHRASES))))
+@query(r"""WITH p(phrase, pattern) AS (VALUES ('the and', '(?i)\bthe\s+and\b'), ('of the', '(?i)\bof\s+the\b'), ('to the', '(?i)\bto\s+the\b'), ('in der', '(?i)\bin\s+der\b'), ('100%', '(?i)\b100%'), ('guaranteed', '(?i)\bguaranteed\b'), ('tamper-proof', '(?i)\btamper-proof\b'))
+SELECT phrase, sum(len(regexp_extract_all(text, pattern)))::BIGINT AS n, count(*) FILTER (WHERE regexp_matches(text, pattern)) AS n_docs FROM documents, p WHERE text IS NOT NULL GROUP BY 1""")
 def banned_phrase_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of each phrase, whatever white space is between its words."""
     docs = table(spark, sf_dir, "documents")
@@ -175,7 +176,7 @@ def recursive_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.roots(nodes, "p_partkey", "parent")
 
 
-@query("""WITH r AS (SELECT c_nationkey AS wid, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS language, lower(c_name[10:18]) AS label FROM customer WHERE c_custkey % 3 = 0),
+@query("""WITH r AS (SELECT c_nationkey AS wid, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS language, lower(c_name[10:18]) AS label FROM customer),
 g AS (SELECT wid, count(DISTINCT language) AS n_languages, list_distinct(list(label)) AS labels FROM r WHERE language <> '' GROUP BY 1 HAVING count(DISTINCT language) >= 5)
 SELECT wid, n_languages, unnest(labels) AS label FROM g""")
 def entity_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,28 +190,27 @@ def entity_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT w AS word, first, regexp_full_match(w, '[a-z][a-z''\\-]*') AS well_formed FROM f""")
 def common_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct words, where each first occurs, and whether it is well formed."""
-    rows = table(spark, sf_dir, "part").select(F.explode(F.split(nfkc_lower(F.col("p_name")), " ")).alias("word"), "p_partkey")
-    return rows.groupBy("word").agg(F.min("p_partkey").alias("first")).withColumn("well_formed", F.col("word").rlike(r"^[a-z][a-z'\-]*$"))
+    rows = table(spark, sf_dir, "part").select(F.explode(F.split(nfkc_lower(F.col("p_name")), " ")).alias("w"), "p_partkey")
+    return G.word_list(rows, F.col("w"), "p_partkey")
 
 
 @query("""WITH m AS (SELECT p_partkey, list_distinct([CASE WHEN p_size % 2 = 0 THEN 'court' ELSE 'generic' END, CASE WHEN p_partkey % 3 = 0 THEN 'court' ELSE 'medical' END]) AS d FROM part)
 SELECT array_to_string(list_sort(d), ',') AS doctypes, count(*) AS n FROM m GROUP BY 1""")
 def doctype_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Doctype lists translated into the closed vocabulary, distinct and sorted."""
-    names = F.create_map(*(F.lit(x) for x in (".legal", "court", ".generic", "generic", ".medical", "medical")))
+    names = {".legal": "court", ".generic": "generic", ".medical": "medical"}
     raw = F.array(F.when(F.col("p_size") % 2 == 0, ".legal").otherwise(".generic"), F.when(F.col("p_partkey") % 3 == 0, ".legal").otherwise(".medical"))
-    rows = table(spark, sf_dir, "part").select(F.array_sort(F.array_distinct(F.transform(raw, lambda d: F.element_at(names, d)))).alias("d"))
+    rows = table(spark, sf_dir, "part").select(G.translated(raw, names).alias("d"))
     return rows.groupBy(F.array_join("d", ",").alias("doctypes")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH k AS (SELECT p_partkey, lower(p_name) AS name, p_brand AS b FROM part WHERE p_partkey % 10 = 0),
+@query("""WITH k AS (SELECT p_partkey, lower(p_name) AS name, p_brand AS b FROM part),
 t AS (SELECT p_partkey, unnest([{'ord': 0, 'w': split_part(name, ' ', 1)}, {'ord': 1, 'w': split_part(name, ' ', 2)}]) AS kw, b FROM k),
 u AS (SELECT p_partkey, kw.ord AS word_ord, kw.w AS keyword, unnest([{'o': 0, 's': 'phone'}, {'o': 1, 's': 'account'}]) AS sc, b FROM t),
 f AS (SELECT keyword, sc.s AS category, arg_min(b, p_partkey * 100 + word_ord * 10 + sc.o) AS source FROM u GROUP BY 1, 2) SELECT * FROM f""")
 def keyword_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(keyword + alias) x category rows; of equal ones the first proposed."""
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("source"), F.lower("p_name").alias("name"))
-    words = rows.select("p_partkey", "source", F.posexplode(F.array(F.split_part("name", F.lit(" "), F.lit(1)), F.split_part("name", F.lit(" "), F.lit(2)))).alias("word_ord", "keyword"))
-    scoped = words.select("*", F.posexplode(F.array(F.lit("phone"), F.lit("account"))).alias("scope_ord", "category"))
-    keyed = scoped.withColumn("k", F.struct("keyword", "category"))
-    return M.first_wins(keyed, "k", ["source"], ["p_partkey", "word_ord", "scope_ord"]).select("k.keyword", "k.category", "source")
+    word = lambda i: F.split_part("p_name", F.lit(" "), F.lit(i))
+    scopes = F.array(F.lit("phone"), F.lit("account"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), word(1).alias("keyword"), F.array(word(2)).alias("aliases"), scopes.alias("scopes"), F.lit(None).cast("string").alias("source"), F.col("p_brand").alias("bucket"))
+    return G.fanned_out(rows)

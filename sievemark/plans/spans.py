@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import digit_stratum, end_slack_match, last_token, norm_text
+from ..operators import documents as D
 from ..operators import integrity as I
 from ..operators import spans as S
 from .registry import query, table
@@ -95,7 +96,7 @@ def miss_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     twins = v.where("page % 3 = 0").groupBy("occ_id").agg(F.max("cover").alias("twin"))
     found = (F.col("cover") >= 0.5) & F.coalesce(F.col("category") == "phone", F.lit(False))
     cause = F.when(found, "found").when(F.col("twin") < 0.5, "detector_induced").when(F.col("page") % 5 == 0, "normalizer_destroyed").when((F.col("twin") >= 0.5) & (F.col("cover") == 0), "ocr_induced").otherwise("unattributed")
-    return v.join(F.broadcast(twins), "occ_id", "left").groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))
+    return v.join(twins, "occ_id", "left").groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))
 
 
 @query("""WITH r AS (SELECT user_id, event_type, event_id AS run, round(value, 2) AS score FROM events WHERE value IS NOT NULL), k AS (SELECT *, row_number() OVER w AS rn, count(*) OVER p AS n_runs, min(score) OVER p AS least, max(score) OVER p AS most FROM r WINDOW p AS (PARTITION BY user_id, event_type), w AS (PARTITION BY user_id, event_type ORDER BY score, run))
@@ -115,13 +116,12 @@ def digit_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(digit_stratum(v).alias("stratum")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH b AS (SELECT l_discount * 200 - 2 AS points, l_returnflag = 'R' AS merged FROM lineitem), c AS (SELECT CASE WHEN points < 0 THEN 'overlap' WHEN points < 3 THEN 'tight' WHEN points < 12 THEN 'near' ELSE 'clear' END AS bucket, merged FROM b)
+@query("""WITH b AS (SELECT l_discount * 200 - 2 AS points, l_returnflag = 'R' AS merged FROM lineitem), c AS (SELECT CASE WHEN points < 0 THEN 'overprint' WHEN points < 3 THEN 'under_3pt' WHEN points < 12 THEN '3_to_12pt' ELSE 'over_12pt' END AS bucket, merged FROM b)
 SELECT bucket, count(*) AS n, count(*) FILTER (WHERE merged) AS n_merged, round(count(*) FILTER (WHERE merged)::DOUBLE / count(*), 6) AS rate FROM c GROUP BY 1""")
 def clearance_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge rates by clearance in points."""
     points = F.col("l_discount") * 200 - 2
-    bucket = F.when(points < 0, "overlap").when(points < 3, "tight").when(points < 12, "near").otherwise("clear")
-    g = table(spark, sf_dir, "lineitem").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("n_merged"))
+    g = table(spark, sf_dir, "lineitem").groupBy(D.clearance_bucket(points).alias("bucket")).agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("n_merged"))
     return g.withColumn("rate", F.round(F.col("n_merged").cast("double") / F.col("n"), 6))
 
 

@@ -282,8 +282,9 @@ def crosswalk(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def federal_agencies(spark: SparkSession, path: str, kinds: tuple[str, ...], branches: tuple[str, ...]) -> DataFrame:
     """(name, aliases, category, jurisdictions) of a hierarchy file: rows of the given entity
     kinds whose topmost ancestor is one of the given branches; the first row of a name wins."""
-    raw = spark.read.option("header", True).option("encoding", "windows-1252").option("multiLine", True).csv(path)
-    rows = raw.select(F.trim("GSA SFP Name").alias("raw"), F.trim("GSA SFP Entity Type").alias("kind"), F.coalesce(F.trim("Parent"), F.lit("")).alias("parent"), F.monotonically_increasing_id().alias("ord")).where("coalesce(raw, '') != ''")
+    field = lambda name: F.trim(F.coalesce(F.element_at("record", F.lit(name)), F.lit("")))
+    raw = encoded_records(spark, path, "cp1252")
+    rows = raw.select(field("GSA SFP Name").alias("raw"), field("GSA SFP Entity Type").alias("kind"), field("Parent").alias("parent"), F.col("line_no").alias("ord")).where("raw != ''")
     nodes = rows.groupBy("raw").agg(F.max_by("parent", "ord").alias("parent"))
     known = nodes.select(F.col("raw").alias("parent"), F.lit(True).alias("_known"))
     edges = nodes.join(known, "parent", "left").where(F.col("_known") & ~F.col("parent").isin(*ROOT_PARENTS)).select("raw", "parent")
@@ -306,13 +307,30 @@ def register_agencies(spark: SparkSession, path: str) -> DataFrame:
     return first.select("name", F.array_compact(F.array(alias)).alias("aliases"), F.lit("federal_agency").alias("category"), F.array(F.lit("US")).alias("jurisdictions"))
 
 
+def _records(text: io.TextIOBase, sep: str) -> list[dict]:
+    import csv
+
+    return [{(k or "").strip(): v for k, v in r.items() if k is not None} for r in csv.DictReader(text, delimiter=sep)]
+
+
+def encoded_records(spark: SparkSession, path: str, encoding: str, sep: str = ",") -> DataFrame:
+    """(path, line_no, record map<column, value>) of a delimited file in an encoding that
+    Spark's own reader does not take; one file a task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path_, content in zip(b["path"], b["content"], strict=True):
+                records = _records(io.StringIO(content.decode(encoding), newline=""), sep)
+                yield pd.DataFrame({"path": path_, "line_no": range(2, len(records) + 2), "record": records})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, line_no long, record map<string,string>")
+
+
 def zipped_records(spark: SparkSession, path: str, member: str, sep: str) -> DataFrame:
     """(path, line_no, record map<column, value>) of a delimited member with a header; quotes
     and line ends inside quotes are honoured. An archive without the member fails."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-
         for b in batches:
             for path_, content in zip(b["path"], b["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -321,7 +339,7 @@ def zipped_records(spark: SparkSession, path: str, member: str, sep: str) -> Dat
                         raise ValueError(f"{path_}: no {member} among {z.namelist()}")
                     for name in names:
                         with io.TextIOWrapper(z.open(name), encoding="utf-8-sig", newline="") as text:
-                            records = [{(k or "").strip(): v for k, v in r.items() if k is not None} for r in csv.DictReader(text, delimiter=sep)]
+                            records = _records(text, sep)
                         yield pd.DataFrame({"path": path_, "line_no": range(2, len(records) + 2), "record": records})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, line_no long, record map<string,string>")
@@ -401,3 +419,22 @@ def dated_source(spark: SparkSession, folder: str, glob: str) -> tuple[str, str]
     if not day:
         raise ValueError(f"{found[0]}: no date at its end")
     return found[0], "-".join(day.groups())
+
+
+def sidecar_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, violations) of a JSON-lines sidecar. A line that is no object, lacks a key or has
+    one that is not known is a violation (line_no, rule); the rules of rows are checked, too."""
+    from ..operators.spans import SIDECAR_KEYS, SIDECAR_MORE, sidecar_violations
+
+    kind = "doc_id string, family string, start int, end int, outcome string, tier string, det_start int, det_end int, det_spans array<array<int>>"
+    text = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value").where("trim(value) != ''")
+    keys = F.json_object_keys("value")
+    known = F.array(*map(F.lit, SIDECAR_KEYS + SIDECAR_MORE))
+    rule = F.when(keys.isNull(), "not_an_object").when(F.size(F.array_except(F.array(*map(F.lit, SIDECAR_KEYS)), keys)) > 0, "key_absent").when(F.size(F.array_except(keys, known)) > 0, "key_unknown")
+    read = F.from_json("value", f"{kind}, _odd string", {"columnNameOfCorruptRecord": "_odd"})
+    judged = text.withColumns({"rule": rule, "r": read}).withColumn("rule", F.coalesce("rule", F.when(F.col("r._odd").isNotNull(), "type")))
+    parsed = judged.where("rule IS NULL").select("line_no", "r.*").drop("_odd")
+    pairs = F.transform("det_spans", lambda p: F.struct(F.get(p, 0).alias("start"), F.get(p, 1).alias("end")))
+    rows = parsed.withColumn("det_spans", pairs)
+    broken = sidecar_violations(rows).select("line_no", "rule")
+    return rows, judged.where("rule IS NOT NULL").select("line_no", "rule").unionByName(broken)

@@ -168,3 +168,41 @@ def test_schema_of_rows(spark):
         schema.row_violations(rows, {"required": ["other"], "properties": {}}, "row")
     with pytest.raises(ValueError, match="not supported"):
         list(schema.violations({}, {"unevaluatedProperties": False}))
+
+
+def test_sidecar_lines(spark, tmp_path):
+    row = {"doc_id": "d", "family": "ssn", "start": 5, "end": 10, "outcome": "tp", "tier": "must", "det_start": 4, "det_end": 12, "det_spans": [[4, 7], [8, 12]]}
+    lines = [row, row | {"det_spans": [[4, 7], [8, 11]]}, row | {"det_spans": [[8, 12], [4, 7]]}, row | {"det_spans": [[4, 5], [8, 12]]}, row | {"more": 1}, {k: v for k, v in row.items() if k != "end"}, row | {"outcome": "xx"}, row | {"start": "five"}, {"doc_id": "d", "family": "ssn", "start": 5, "end": 10, "outcome": "fn", "tier": "must"}]
+    (tmp_path / "s.jsonl").write_text("\n".join([*map(json.dumps, lines), "[1]", ""]))
+    rows, broken = readers.sidecar_rows(spark, str(tmp_path / "s.jsonl"))
+    assert rows.count() == 6
+    assert sorted(r.rule for r in broken.collect()) == ["hull", "key_absent", "key_unknown", "not_an_object", "outcome", "span_order", "span_outside", "type"]
+
+
+def test_table_function_of_matches(spark):
+    from sievemark.functions.detectors import register_finditer
+
+    register_finditer(spark)
+    got = spark.sql("SELECT value, start, end FROM finditer('mail a@b.org, c@d.org', 'email')").collect()
+    assert [tuple(r) for r in got] == [("a@b.org", 5, 12), ("c@d.org", 14, 21)]
+
+
+def test_stamps_installs_and_presets(spark):
+    from sievemark.operators import calibration, integrity
+
+    files = spark.createDataFrame([("b", "1" * 64), ("a", "2" * 64)], "rel_path string, sha256 string")
+    stamp = integrity.content_manifest(files)
+    assert [r.line for r in stamp.collect()] == ["2" * 64 + "  a", "1" * 64 + "  b"]
+    assert not integrity.content_changed(files, stamp)
+    assert integrity.content_changed(files.where("rel_path = 'a'"), stamp) and integrity.content_changed(files, spark.createDataFrame([("x",)], "line string"))
+    new = spark.createDataFrame([("g", 3, "x"), ("h", None, "y")], "rel_path string, entries int, sha256 string")
+    old = spark.createDataFrame([("g", 5)], "rel_path string, entries int")
+    assert integrity.installed(new, old, ()).count() == integrity.installed(new, old, ("g",), allow_shrink=True).count() == 2
+    with pytest.raises(Exception, match="would shrink"):
+        integrity.installed(new, old, ("g", "h")).collect()
+    assert integrity.rebuilt_alike(lambda: files.repartition(3))
+    table = calibration.preset_table(spark)
+    assert calibration.checked_presets(table, tuple(calibration.PRESETS)).count() == 0 and table.count() == 17
+    held = calibration.feasible(table, calibration.ceiling_table(spark), "category", ("conservative", "balanced", "aggressive"))
+    assert all(abs(r[p] - v) < 1e-9 for r in held.collect() for p, v in zip(("conservative", "balanced", "aggressive"), calibration.PRESETS[r.category]))
+    assert readers.strict_json(b"1") == 1
