@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def give_back() -> None:
+    """Return freed memory to the system: at a task's end, as workers are kept for the next."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library frees by itself
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -43,5 +55,6 @@ def mapped(df: DataFrame, asked: list[Column], run: Callable, new: list[tuple[st
 
         for made, rest in run((b.columns[:n], b.columns[n:]) for b in stream):
             yield pa.RecordBatch.from_arrays([*rest, *made], names=labels)
+        give_back()
 
     return inside.mapInArrow(batches, schema).toDF(*kept, *(name for name, _ in new))

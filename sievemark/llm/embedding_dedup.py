@@ -28,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,21 +106,19 @@ def _units(vectors: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _meet(key: tuple, rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
+def _meet(cell: int, i: int, j: int, rows: pa.Table, cosine: float) -> pa.Table:
     """Links inside a tile of one cell: (id, links, smallest id in reach)."""
-    cell = key[1]
-    i, j = key[2], key[3]
-    rows = rows.sort_values("id")
+    rows = rows.sort_by("id")
     ids, mine = rows["id"].to_numpy(), rows["mine"].to_numpy()
-    x = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), -1)
-    filed = np.frombuffer(b"".join(rows["cells"]), np.int64).reshape(len(rows), -1)
+    x = np.frombuffer(b"".join(rows["unit"].to_pylist()), np.float64).reshape(len(rows), -1)
+    filed = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.int64).reshape(len(rows), -1)
     linked = x @ x.T >= cosine
     np.fill_diagonal(linked, False)
     if i != j:
         linked &= mine[:, None] != mine[None, :]
     some = np.flatnonzero(linked.any(1))
     if not len(some):
-        return pd.DataFrame({"id": ids[:0], "links": ids[:0], "least": ids[:0]})
+        return pa.table({"id": ids[:0], "links": ids[:0], "least": ids[:0]})
     linked, ids, filed = linked[np.ix_(some, some)], ids[some], filed[some]
     # A pair that has a smaller cell in common is counted there.
     smaller, at = np.unique(filed, return_inverse=True)
@@ -140,7 +137,7 @@ def _meet(key: tuple, rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
             break
         least = new
     ok = links > 0
-    return pd.DataFrame({"id": ids[ok], "links": links[ok], "least": ids[least[ok]]})
+    return pa.table({"id": ids[ok], "links": links[ok], "least": ids[least[ok]]})
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, target: float = TARGET_RECALL) -> DataFrame:
@@ -192,11 +189,11 @@ def _meet_all(each: DataFrame, cosine: float) -> DataFrame:
     each = each.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
-    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _meet(key, rows, cosine)
+    def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        return _meet(*(k.as_py() for k in key[1:]), rows, cosine)
 
     each = each.select("width", "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "n", "unit", "cells")
-    return each.groupBy("width", "cell", "i", "j").applyInPandas(meet, "id long, links long, least long")
+    return each.groupBy("width", "cell", "i", "j").applyInArrow(meet, "id long, links long, least long")
 
 
 def _filed(rows: DataFrame, width: int, count: int, cosine: float, target: float, work: Workspace) -> DataFrame:

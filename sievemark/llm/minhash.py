@@ -37,12 +37,13 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import give_back
 from .components import connected_components
 from .storage import Workspace, among
 from .words import mix, shingle_sets
@@ -116,6 +117,7 @@ def sketch(df: DataFrame, key: str, text: str, words: int, slots: int) -> DataFr
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hashes, pa.binary()), pa.array([next(sigs).tobytes() if len(s) else None for s in sets], pa.binary())],
                     names=["id", "n_shingles", "set_hash", "sig"],
                 )
+        give_back()
 
     return df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, n_shingles long, set_hash binary, sig binary")
 
@@ -173,13 +175,13 @@ def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _sides(key: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    return rows[rows["mine"] == key[1]], rows[rows["mine"] == key[2]]
+def _sides(key: tuple, rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+    return tuple(rows.filter(pc.equal(rows["mine"], k)) for k in key[1:])
 
 
-def _asked(first: pd.DataFrame, second: pd.DataFrame, s: Scheme, percent: int) -> np.ndarray:
+def _asked(first: pa.Table, second: pa.Table, s: Scheme, percent: int) -> np.ndarray:
     """Which pairs of a tile lie in different components and may link."""
-    a, b = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), s.slots) for x in (first, second))
+    a, b = (np.frombuffer(b"".join(x["sig"].to_pylist()), "<u2").reshape(len(x), s.slots) for x in (first, second))
     equal = np.zeros((len(a), len(b)), np.uint8)
     for k in range(s.slots):
         equal += a[:, k, None] == b[None, :, k]
@@ -188,26 +190,26 @@ def _asked(first: pd.DataFrame, second: pd.DataFrame, s: Scheme, percent: int) -
     return sizes & (s.slots - equal <= s.prune) & (first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :])
 
 
-def _ask_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
+def _ask_tile(key: tuple, rows: pa.Table, s: Scheme, percent: int) -> pa.Table:
     """The vertices of a tile whose sets are asked for."""
     first, second = _sides(key, rows)
     ask = _asked(first, second, s, percent)
-    some = pd.concat([first[ask.any(1)], second[ask.any(0)]]).drop_duplicates("id")
-    return some.assign(cluster=key[0], i=key[1], j=key[2])[["cluster", "i", "j", "mine", "id", "comp", "n", "sig"]]
+    if key[1] == key[2]:  # the sides are the same
+        return first.filter(pa.array(ask.any(1) | ask.any(0)))
+    return pa.concat_tables([first.filter(pa.array(ask.any(1))), second.filter(pa.array(ask.any(0)))])
 
 
-def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd.DataFrame:
+def _confirm_tile(key: tuple, rows: pa.Table, s: Scheme, percent: int) -> pa.Table:
     """The confirmed links of a tile between components, as a forest: (u, v) with v
     the smallest vertex that u reaches inside the tile."""
     left, right = _sides(key, rows)
-    none = pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
     if not len(left) or not len(right):
-        return none
-    sets = [[np.asarray(x, np.int64) for x in side["shingles"]] for side in (left, right)]
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    sizes = [pc.list_value_length(side["shingles"]).to_numpy() for side in (left, right)]
+    sets = [np.split(pc.list_flatten(side["shingles"]).to_numpy(), np.cumsum(n)[:-1]) for side, n in zip((left, right), sizes, strict=True)]
     common = _common(*sets)
-    sizes = [np.array([len(x) for x in side]) for side in sets]
     near = _asked(left, right, s, percent) & (100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common))
-    ids, place = np.unique(np.concatenate([left["id"], right["id"]]), return_inverse=True)
+    ids, place = np.unique(np.concatenate([left["id"].to_numpy(), right["id"].to_numpy()]), return_inverse=True)
     u, v = np.nonzero(near)
     u, v = place[u], place[len(left) + v]
     least = np.arange(len(ids))
@@ -220,7 +222,7 @@ def _confirm_tile(key: tuple, rows: pd.DataFrame, s: Scheme, percent: int) -> pd
             break
         least = new
     hang = np.flatnonzero(least != np.arange(len(ids)))
-    return pd.DataFrame({"u": ids[hang], "v": ids[least[hang]]})
+    return pa.table({"u": pa.array(ids[hang], pa.int64()), "v": pa.array(ids[least[hang]], pa.int64())})
 
 
 def _hot_links(hot: DataFrame, sigs: DataFrame, sets_of, s: Scheme, percent: int, work: Workspace) -> DataFrame:
@@ -238,15 +240,15 @@ def _hot_links(hot: DataFrame, sigs: DataFrame, sets_of, s: Scheme, percent: int
     dealt = dealt.join(among(sigs, inside.select("id")), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "comp", "n", "sig")
 
-    def ask(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _ask_tile(key, rows, s, percent)
+    def ask(key: tuple, rows: pa.Table) -> pa.Table:
+        return _ask_tile(tuple(k.as_py() for k in key), rows, s, percent)
 
-    def confirm(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _confirm_tile(key, rows, s, percent)
+    def confirm(key: tuple, rows: pa.Table) -> pa.Table:
+        return _confirm_tile(tuple(k.as_py() for k in key), rows, s, percent)
 
-    asked = work.write(dealt.groupBy("cluster", "i", "j").applyInPandas(ask, dealt.schema), "asked")
+    asked = work.write(dealt.groupBy("cluster", "i", "j").applyInArrow(ask, dealt.schema), "asked")
     sets = sets_of(asked.select("id"))
-    links = work.write(asked.join(sets, "id").groupBy("cluster", "i", "j").applyInPandas(confirm, "u long, v long"), "links")
+    links = work.write(asked.join(sets, "id").groupBy("cluster", "i", "j").applyInArrow(confirm, "u long, v long"), "links")
     work.drop(asked, sets)
     return links
 
@@ -280,6 +282,7 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
                 part = batch.slice(at, ROWS)
                 sets = [x.view(np.int64) for x in shingle_sets(part.column(1).to_pylist(), words)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+        give_back()
 
     repeated = rows.groupBy("id").count().where("count > 1").limit(1).count()
 

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import give_back
 from .storage import Workspace
 from .word_bpe import encoder
 
@@ -58,6 +59,7 @@ def tokenize(df: DataFrame, vocabulary: str, length: int, end_id: int = 0, keep_
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
             n = 5 + keep_ids
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], kinds[:n], strict=True)], names=list(names[:n]))
+        give_back()
 
     return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 

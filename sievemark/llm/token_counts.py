@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .columns import quoted
+from .columns import give_back, quoted
 from .storage import Workspace, make_dir
 from .word_bpe import encoder
 
@@ -70,6 +70,7 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, dt
         if out is not None:
             out.close()
             store.move(temporary, f"{folder}/{name}")
+        give_back()
 
     return df.select(quoted(key).cast("long").alias("doc_id"), quoted(text).alias("text")).mapInArrow(run, "file string, ordinal long, doc_id long")
 

@@ -17,8 +17,8 @@ _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: What str.split() takes for white space and the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f\x85]")
 _PLAIN = re.compile("[\t\n\x0b\x0c\r ]+")
-#: Chunks kept by a worker (about 60 MB), and the longest one kept.
-KEPT, LONGEST = 300_000, 64
+#: Chunks kept by a worker (about 40 MB), and the longest one kept.
+KEPT, LONGEST = 150_000, 64
 
 
 def _byte_letters() -> dict[int, str]:
