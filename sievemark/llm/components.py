@@ -18,10 +18,10 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1] or 0
 
 
-def _smallest(edges: DataFrame, work: Workspace) -> DataFrame:
+def _smallest(edges: DataFrame, work: Workspace, rows: int) -> DataFrame:
     """Per ``u`` its smallest ``v``; written, so that the join back to a vertex
     with very many edges can be split."""
-    return work.write(edges.groupBy("u").agg(F.min("v").alias("m")), "smallest")
+    return work.write(edges.groupBy("u").agg(F.min("v").alias("m")), "smallest", rows)
 
 
 def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
@@ -31,16 +31,17 @@ def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _smallest(both, work)
+        most = 2 * mark[0]  # no step makes more rows than an edge and its reverse
+        least = _smallest(both, work, most)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = work.write(large.distinct(), "large")
-        parent = _smallest(large, work)
+        large = work.write(large.distinct(), "large", most)
+        parent = _smallest(large, work, most)
         rest = large.join(parent, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = work.write(rest.unionByName(parent.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        small = work.write(rest.unionByName(parent.select("u", F.col("m").alias("v"))).distinct(), "edges", most)
         work.drop(now, least, large, parent)
         now, before = small, mark
         mark = _mark(now)
         if mark == before:
             break
     roots = now.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))
-    return work.write(now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots), "components")
+    return work.write(now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots), "components", 2 * mark[0])

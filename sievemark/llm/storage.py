@@ -18,6 +18,8 @@ from .columns import fresh, quoted
 
 #: Bits of a lookup map for each id, and at most in a map (a million words of 64).
 BITS_EACH, MOST_BITS = 64, 1 << 26
+#: Rows of a few numbers in a file.
+FILE_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -71,9 +73,12 @@ class Workspace:
         self._n += 1
         return f"{self.path}/{self._n:03d}-{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the written table."""
+    def write(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write ``df`` and return the written table. Where it is known that there are at
+        most so many ``rows``, small ones go to as few files as they need."""
         path = self.fresh(name)
+        if rows is not None:
+            df = df.coalesce(1 + rows // FILE_ROWS)
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._sievemark_path = path
