@@ -122,21 +122,21 @@ def sketch(df: DataFrame, key: str, text: str, words: int, slots: int) -> DataFr
     return df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, n_shingles long, set_hash binary, sig binary")
 
 
+def _place(sig: Column, place: Column) -> Column:
+    return F.substring(sig, 2 * place + 1, F.lit(2))
+
+
 def _keys(sig: Column, s: Scheme) -> Column:
-    """One hash for each chunk and each choice of its places left out."""
-    keys = []
-    for chunk in range(s.chunks):
-        for left_out in combinations(range(s.width), s.errors):
-            places = [F.substring(sig, 1 + 2 * (chunk * s.width + p), 2) for p in range(s.width) if p not in left_out]
-            keys.append(F.xxhash64(F.lit(len(keys)), F.concat(*places)))
-    return F.array(*keys)
+    """One hash for each chunk and each choice of its places left out. An array function over
+    the choices, as code written out for each would be long to compile."""
+    kept = [[chunk * s.width + p for p in range(s.width) if p not in left_out] for chunk in range(s.chunks) for left_out in combinations(range(s.width), s.errors)]
+    choices = F.array(*(F.array(*map(F.lit, places)) for places in kept))
+    return F.transform(choices, lambda places, i: F.xxhash64(i, F.transform(places, lambda p: _place(sig, p))))
 
 
 def _distance(a: Column, b: Column, slots: int) -> Column:
-    total = F.lit(0)
-    for k in range(slots):
-        total = total + (F.substring(a, 1 + 2 * k, 2) != F.substring(b, 1 + 2 * k, 2)).cast("int")
-    return total
+    places = F.sequence(F.lit(0), F.lit(slots - 1))
+    return F.size(F.filter(places, lambda k: _place(a, k) != _place(b, k)))
 
 
 def _may_link(a: str, b: str, s: Scheme, percent: int) -> Column:
@@ -262,7 +262,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     work = Workspace(df.sparkSession, "minhash")
     s = scheme(percent / 100)
     rows = work.write(sketch(df, key, text, words, s.slots), "sketch")
-    classes = work.write(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_hash").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    classes = work.write(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_hash").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes", rows.count())
     found = _components(df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), rows, classes, s, words, percent, work)
     named = classes.select("set_hash", "id").join(found, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     out = rows.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
@@ -303,16 +303,18 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
     votes = members.where("id != pivot").groupBy("id", "pivot").count()
     best = votes.groupBy("id").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("v")).withColumnRenamed("id", "u")
     best = best.join(side("u"), "u").join(side("v"), "v")
-    star = work.write(best.where(_may_link("u", "v", s, percent)).select("u", "v"), "star")
+    star = work.write(best.where(_may_link("u", "v", s, percent)).select("u", "v"), "star", classes.count())
     links = confirmed(star)
     found = connected_components(links, work)
 
     # What shares a key across components: hot keys in tiles, then the pairs of the others.
+    n_members = members.count()
+
     def open_keys(found: DataFrame) -> DataFrame:
         labelled = members.select("key", "id", "pivot").join(found, "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("comp"))
-        labelled = work.write(labelled, "labelled")
+        labelled = work.write(labelled, "labelled", n_members)
         still = labelled.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least != most").select("key", "n")
-        rows = work.write(labelled.join(still, "key"), "open")
+        rows = work.write(labelled.join(still, "key"), "open", n_members)
         work.drop(labelled)
         return rows
 
@@ -321,7 +323,7 @@ def _components(docs: DataFrame, rows: DataFrame, classes: DataFrame, s: Scheme,
     if hot.limit(1).count():
         more = _hot_links(hot, sigs, sets_of, s, percent, work)
         work.drop(left)
-        links = work.write(links.unionByName(more), "links")
+        links = work.write(links.unionByName(more), "links", links.count() + more.count())
         found = connected_components(links, work)
         left = open_keys(found)
     few = left.where(f"n <= {SMALL}").select("key", "id", "comp").join(sigs, "id")
