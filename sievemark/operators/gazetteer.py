@@ -69,9 +69,10 @@ def multimap(pairs: DataFrame, alias: str, canonical: str) -> DataFrame:
 
 
 def winners(rows: DataFrame, key: str, ratio: str, tie: str) -> DataFrame:
-    """Per key the row with the largest ratio, ties to the smaller ``tie``."""
-    order = Window.partitionBy(key).orderBy(F.desc(ratio), tie)
-    return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    """Per key the row with the largest ratio, ties to the smaller ``tie``; a null ratio is the
+    least. One row a key and task is shuffled."""
+    order = F.struct(F.col(ratio).isNull(), -F.col(ratio), F.col(tie))
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), order).alias("_row")).select("_row.*")
 
 
 def prefix_overrides(won: DataFrame, key: str, value: str, width: int = 3) -> DataFrame:
@@ -114,11 +115,17 @@ def roots(nodes: DataFrame, child: str, parent: str, hops: int = 32) -> DataFram
     return walk.select("node", "root", "depth")
 
 
+#: Keywords that may be constants of a plan.
+MOST_KEYWORDS = 10_000
+
+
 def capped_hits(docs: DataFrame, token_array: Column, keywords: DataFrame, cap: int = 5) -> DataFrame:
-    """Per document and class, the sum over keywords of min(hits, cap). ``keywords``
-    (class, keyword) is joined by token, so only matching tokens are counted."""
-    words = docs.select("doc_id", F.explode(token_array).alias("keyword"))
-    hits = words.join(keywords, "keyword").groupBy("doc_id", "class", "keyword").agg(F.least(F.count("*"), F.lit(cap)).alias("n"))
+    """Per document and class, the sum over keywords of min(hits, cap). Only tokens that are a
+    keyword become rows, to be joined with the closed list ``keywords`` (class, keyword)."""
+    listed = [r[0] for r in keywords.select("keyword").distinct().limit(MOST_KEYWORDS + 1).collect()]
+    own = F.filter(token_array, lambda t: t.isin(*listed)) if len(listed) <= MOST_KEYWORDS else token_array
+    words = docs.select("doc_id", F.explode(own).alias("keyword"))
+    hits = words.groupBy("doc_id", "keyword").agg(F.least(F.count("*"), F.lit(cap)).alias("n")).join(keywords, "keyword")
     return hits.groupBy("doc_id", "class").agg(F.sum("n").alias("score"), F.count("*").alias("n_terms"))
 
 
