@@ -25,7 +25,7 @@ LEAST_SPANS, MOST_SPANS = 5, 18
 TAGS = ("decoy", "repeated_value", "name_sparse", "marginal")
 CONTEXTS = ("label_same_line", "boxed_label", "table_row", "header", "body_prose", "care_of", "honorific", "signature", "none")
 TIER_OF = {"redact": "must", "flag": "watch", "suppress": "must_not"}
-KINDS = ("role_noun", "label", "salutation", "closing")
+KINDS = ("role_noun", "label", "salutation", "closing", "page_number")
 #: What a profile moves: C name contexts, D furniture, A name forms, G locales, H placeholders.
 PROFILES = {"base": "", "specC": "C", "specD": "D", "specCD": "CD", "specA": "A", "specG": "G", "specH": "H", "specAGH": "AGH"}
 PLACEHOLDER, ROLES = "[REDACTED]", ("the applicant", "the deponent", "the account holder", "the patient")
@@ -134,6 +134,7 @@ def render(doctype: str, template: str, index: int, seed: int, locale: str = "en
             page.tags.add("repeated_value")
     if "D" in spec:
         page.plant(own.choice(CLOSINGS), "closing").say("\n")
+        page.plant(cue("Page {page}", own), "page_number").say("\n")
     if sparse:
         page.tags.add("name_sparse")
     for s in page.spans:
@@ -141,6 +142,14 @@ def render(doctype: str, template: str, index: int, seed: int, locale: str = "en
     return page
 
 
+def cue(text: str, rng: random.Random) -> str:
+    """A cue with ``{page}`` as a place among pages: "3 of 7"."""
+    if "{page}" not in text:
+        return text
+    last = rng.randrange(2, 40)
+    return text.replace("{page}", f"{rng.randrange(1, last + 1)} of {last}")
+
+
 def _made(family: str, mark: str, rng: random.Random, who: tuple[str, str, str], locale: str, where: str, made: dict[str, str]) -> str:
     """A value; the stream is drawn from alike, whatever the profile then shows."""
     if mark == "!":

@@ -233,3 +233,12 @@ def parity_gaps(counts: DataFrame, table: str, bucket: str, n: str, unlabelled:
     shares = counts.withColumn("_share", F.col(n).cast("double") / F.sum(n).over(Window.partitionBy(table)))
     spread = F.max(F.when(F.col(bucket) != unlabelled, F.col("_share"))) - F.min(F.when(F.col(bucket) != unlabelled, F.col("_share")))
     return shares.groupBy(table).agg(F.round(spread * 100, 6).alias("gap"))
+
+
+def wire(rows: DataFrame, keys: tuple[str, ...] = (), audit: tuple[str, ...] = ()) -> DataFrame:
+    """Rows as they ship: the wire keys alone, or all but audit keys and names with a leading
+    underscore."""
+    kept = [c for c in rows.columns if (c in keys if keys else c not in audit and not c.startswith("_"))]
+    if missing := set(keys) - set(kept):
+        raise ValueError(f"wire keys that the rows lack: {sorted(missing)}")
+    return rows.select(*kept)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfkc_lower
 from ..operators.gazetteer import acronym, area_share, roots
-from ..operators.merge import keep_entities, plurality
+from ..operators.merge import broken_runs, keep_entities, plurality
 
 #: Bytes under which a large source is taken for a pointer to itself.
 POINTER_BYTES = 1 << 20
@@ -87,6 +87,12 @@ def multilingual_names(spark: SparkSession, path: str, least: int = 5, languages
     return keep_entities(rows, "wikidata_id", "language", nfkc_lower(F.trim("label")), least, languages)
 
 
+def interrupted_entities(spark: SparkSession, path: str) -> DataFrame:
+    """(wikidata_id, runs): entities whose rows do not stand together in the file."""
+    rows = delimited(spark, path, PARANAMES).select("wikidata_id", F.monotonically_increasing_id().alias("row_ord"))
+    return broken_runs(rows, "wikidata_id", "row_ord")
+
+
 def names_by_type(spark: SparkSession, path: str, kind: str, spec: str) -> DataFrame:
     rows = delimited(spark, path, POPNAMES).where(F.col("type") == kind)
     return with_ordinal(rows, spec, nfkc_lower(F.trim("name"))).select("key", "source_id", "row_ord", F.lit("unlabeled").alias("demographic"))

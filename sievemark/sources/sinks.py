@@ -88,3 +88,14 @@ def cached(spark: SparkSession, folder: str, fingerprint: str, build: Callable[[
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def write_sorted(rows: DataFrame, path: str, keys: list[str], form: str = "parquet") -> None:
+    """Write rows in global order of ``keys``: files in order of name hold rising ranges."""
+    rows.orderBy(*keys).write.mode("overwrite").format(form).save(path)
+
+
+def write_json_lines(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """One JSON object a row in order of ``keys``, fields in order of name, nulls written."""
+    line = F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"})
+    rows.orderBy(*keys).select(line.alias("value")).write.mode("overwrite").text(path)

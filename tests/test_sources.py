@@ -206,3 +206,24 @@ def test_stamps_installs_and_presets(spark):
     held = calibration.feasible(table, calibration.ceiling_table(spark), "category", ("conservative", "balanced", "aggressive"))
     assert all(abs(r[p] - v) < 1e-9 for r in held.collect() for p, v in zip(("conservative", "balanced", "aggressive"), calibration.PRESETS[r.category]))
     assert readers.strict_json(b"1") == 1
+
+
+def test_sinks_in_order_and_wire_rows(spark, tmp_path):
+    from sievemark.operators import gazetteer
+
+    rows = spark.createDataFrame([(i * 7 % 100, None if i % 2 else "x", i) for i in range(100)], "k int, b string, _note int").repartition(5)
+    sinks.write_sorted(rows, str(tmp_path / "p"), ["k"])
+    ranges = spark.read.parquet(str(tmp_path / "p")).groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("f").collect()
+    assert all(x.b < y.a for x, y in zip(ranges, ranges[1:]))
+    sinks.write_json_lines(gazetteer.wire(rows), str(tmp_path / "j"), ["k"])
+    lines = [r.value for r in spark.read.text(str(tmp_path / "j")).collect()]
+    assert sorted(lines)[0] in ('{"b":null,"k":0}', '{"b":"x","k":0}') and all(list(json.loads(x)) == ["b", "k"] for x in lines)
+    assert gazetteer.wire(rows, keys=("k",)).columns == ["k"]
+    with pytest.raises(ValueError, match="lack"):
+        gazetteer.wire(rows, keys=("z",))
+
+
+def test_interrupted_entities(spark, tmp_path):
+    lines = ["wikidata_id\teng\tlabel\tlanguage\ttype"] + [f"{q}\te\tl\ten\tPER" for q in ("Q1", "Q1", "Q2", "Q1", "Q3")]
+    (tmp_path / "p.tsv").write_text("\n".join(lines) + "\n")
+    assert [(r.wikidata_id, r.runs) for r in readers.interrupted_entities(spark, str(tmp_path / "p.tsv")).collect()] == [("Q1", 2)]
