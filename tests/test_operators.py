@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import context, detectors, text
 from sievemark.functions import validators as V
-from sievemark.operators import bloom, calibration, corpus, evaluation, gazetteer, generate, hostile, integrity, merge, spans, values
+from sievemark.operators import bloom, calibration, corpus, documents, evaluation, gazetteer, generate, hostile, integrity, merge, spans, tally, values
 from sievemark.sources import readers, sinks
 
 
@@ -344,3 +344,51 @@ def test_context_features_at_each_match(spark, tmp_path):
     want = sorted((i, "phone", context.features(texts[i], s, len(number), *words, "generic")) for i, starts in at.items() for s in starts)
     assert all(context.units(texts[i])[s : s + len(number)] == number for i, starts in at.items() for s in starts)
     assert sorted((r.id, r.family, r.features) for r in QUERIES["context_features"](spark, str(tmp_path)).collect()) == want
+
+
+def test_violations_fail_loud(spark):
+    rows = spark.createDataFrame([(f"d{i}", i, i + 2, "ssn", "must", "tp", [(i, i + 1)]) for i in range(30)], "doc_id string, start int, end int, family string, tier string, outcome string, det_spans array<struct<start:int,end:int>>")
+    docs = rows.select("doc_id", F.lit("court").alias("doctype"), F.lit("white").alias("bucket"))
+    spans_ = rows.select("doc_id", "start", "end", "family", "tier", F.array(F.struct(F.col("start"), F.col("end"))).alias("tokens"), F.lit(None).cast("string").alias("context_class"))
+    tally.fail_on(tally.truth_violations(tally.join_truth(rows, docs, spans_)), "sidecar")
+    with pytest.raises(ValueError, match="sidecar: .*no_span") as error:
+        tally.fail_on(tally.truth_violations(tally.join_truth(rows, docs, spans_.where("start < 5"))), "sidecar")
+    assert str(error.value).count("no_span") == tally.SHOWN
+    assert tally.cell_tallies(tally.join_truth(rows, docs, spans_)).first().one_token_tp == 0
+    none = spark.createDataFrame([], "doc_id string, start int, end int, kind string")
+    spurious = rows.withColumns({"tier": F.lit(None).cast("string"), "outcome": F.lit("fp")})
+    joined = tally.join_truth(spurious, docs, spans_)
+    assert tally.furniture_counts(joined, none).collect() == []
+    some = spark.createDataFrame([("d3", 0, 9, "label"), ("d3", 4, 9, "label")], none.schema)
+    assert {r.kind: r.n for r in tally.furniture_counts(joined, some).collect()} == {"label": 1, "unattributed": 29}
+
+
+def test_documents_by_hand(spark):
+    box = lambda x, y, w, h: (float(x), float(y), float(w), float(h))
+    kind = "struct<x:double,y:double,w:double,h:double>"
+    occ = spark.createDataFrame([(1, 1, "dob", box(0, 0, 10, 10), None), (1, 2, "phone", box(20, 0, 10, 10), [box(20, 0, 4, 10), box(26, 0, 4, 10)]), (1, 3, "phone", None, None), (1, 4, "name", box(40, 0, 10, 10), [box(40, 0, 4, 10), None])], f"page int, occ_id int, category string, box {kind}, spans array<{kind}>")
+    hit = lambda i, c, x, y, w, h: (1, i, c, f"t{i}", *box(x, y, w, h))
+    rows = [hit(1, "phone", 0, 0, 6, 10), hit(2, "dateOfBirth", 0, 0, 5, 10), hit(3, "dateOfBirth", 5, 0, 5, 10), hit(4, "phone", 20, 0, 4, 10), hit(5, "phone", 26, 0, 4, 10), hit(6, "name", 40, 0, 4, 10)]
+    hits = spark.createDataFrame(rows, "page int, hit_id int, category string, text string, hx double, hy double, hw double, hh double")
+    got = {r.occ_id: r for r in documents.verdicts(occ, hits, ["page"], 16.0).collect()}
+    one = got[1]  # two halves of a date beat the larger phone
+    assert (one.cover_category, one.cover_text, one.cover_fraction, one.cover_detections, one.strict) == ("dateOfBirth", "t2", 1.0, 2, True)
+    assert documents.verdicts(occ, hits, ["page"], 16.0, "single").where("occ_id = 1").first().cover_category == "phone"
+    assert (got[2].covered, got[2].iou_matched, got[2].cover_fraction) == (True, True, 1.0)  # every span is covered
+    assert (got[3].covered, got[3].cover_detections, got[3].cover_category) == (False, 0, None)
+    assert (got[4].covered, got[4].cover_fraction) == (False, 0.4)  # a span without a box earns nothing
+    with pytest.raises(ValueError, match="rule"):
+        documents.verdicts(occ, hits, ["page"], 16.0, "other")
+    legs = spark.createDataFrame([("natural", ["rich"]), ("natural", ["poor"]), ("natural", ["rich", "poor"]), ("natural", None), ("ocr-forced", ["rich"])], "leg string, s array<string>")
+    assert [r[0] for r in legs.select(documents.leg_kind(F.col("leg"), F.col("s"))).collect()] == ["text", "ocr", "mixed", "ocr", "ocr-forced"]
+    order = spark.createDataFrame([("b", "text"), ("a", "zz"), ("a", "mixed"), ("a", "text")], "document string, leg string")
+    assert [tuple(r) for r in documents.report_order(order).collect()] == [("a", "text"), ("a", "mixed"), ("a", "zz"), ("b", "text")]
+
+
+def test_closed_lists_fail_on_strangers(spark):
+    one = spark.createDataFrame([(["x"],)], "n array<string>")
+    with pytest.raises(Exception, match="no such name"):
+        one.select(gazetteer.translated(F.col("n"), {"y": "z"})).collect()
+    with pytest.raises(ValueError, match="prior mode"):
+        calibration.composed(F.lit(0.5), F.lit(0.5), "other")
+    assert spark.range(1).select(calibration.composed(F.lit(2.0), F.lit(0.5), "corpus", F.lit(True))).first()[0] == 1.0
