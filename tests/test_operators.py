@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import context, detectors, text
 from sievemark.functions import validators as V
-from sievemark.operators import bloom, calibration, corpus, documents, evaluation, gazetteer, generate, hostile, integrity, merge, spans, tally, values
+from sievemark.operators import bloom, calibration, corpus, documents, evaluation, gazetteer, generate, hostile, integrity, merge, ordered, spans, tally, values
 from sievemark.sources import readers, sinks
 
 
@@ -261,7 +261,12 @@ def test_fits_in_passes_equal_fits_in_memory(spark):
     assert calibration.fit_scorers(rows, "family", "features", "label", "event_id", promote=("phone",)).where("w_family > 0").count() == 0
 
 
-def test_walks_and_ranges_at_size(spark):
+@pytest.mark.parametrize("range_rows", [500, 10_000])
+def test_walks_and_ranges_at_size(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(ordered, "RANGE_ROWS", range_rows)
+    placed = ordered.in_ranges(spark.range(20_000).select("id", (F.col("id") % 7).alias("m"), F.when(F.col("id") % 1000 != 0, F.concat(F.lit("k"), F.col("id") % 5000)).alias("s")), ["s", "m"])
+    ends = placed.groupBy("_range").agg(F.min(F.struct("s", "m")).alias("a"), F.max(F.struct("s", "m")).alias("b"), F.count("*").alias("n")).orderBy("_range").collect()
+    assert all((x.b.s or "", x.b.m) < (y.a.s or "", y.a.m) for x, y in zip(ends, ends[1:])) and (len(ends) > 20) == (range_rows == 500) and max(r.n for r in ends) < 8 * range_rows
     nodes = spark.range(1, 200_001).select("id", F.floor(F.col("id") / 2).alias("up"))
     got = gazetteer.roots(nodes, "id", "up")
     assert got.agg(F.max("root"), F.max("depth"), F.count("*")).first()[:] == (0, 17, 200_000)
