@@ -170,23 +170,31 @@ def solve(p: Pieces, words: list[bytes], literal: list[tuple[int, int]] | None =
         first = np.minimum.reduceat(np.where(value == np.repeat(top, runs), np.arange(b - a), b - a), heads)
         reach[e[heads]] = top
         back[e[heads]] = a + first
-    back, start, key = back.tolist(), start.tolist(), key.tolist()
-    ids, byte_ids = p.ids.tolist(), p.byte_ids.tolist()
-    raw, out, lo = data.tobytes(), [], 0
-    for hi in stops.tolist():
-        cut, at = [], hi
-        while at > lo:
-            edge = back[at]
-            k, prev = key[edge], start[edge]
-            if k >= 0:
-                cut.append(ids[k])
-            else:
-                cut += [byte_ids[b] for b in reversed(raw[prev:at])]
-            at = prev
-        cut.reverse()
-        out.append(np.array(cut, "<i4").tobytes())
-        lo = hi
-    return out
+    # Back from the ends of all words at once; the last step of a word is its first piece.
+    word, at, steps = np.arange(len(words)), stops, []
+    going = lengths > 0
+    while (word := word[going]).size:
+        at = at[going]
+        edge = back[at]
+        steps.append((word, start[edge], at, key[edge]))
+        at = start[edge]
+        going = at > (stops - lengths)[word]
+    if not steps:
+        return [b""] * len(words)
+    step = np.repeat(np.arange(len(steps)), [len(x[0]) for x in steps])
+    word, lo, hi, key = (np.concatenate(x) for x in zip(*steps, strict=True))
+    order = np.lexsort((-step, word))
+    word, lo, hi, key = word[order], lo[order], hi[order], key[order]
+    size = np.where(key >= 0, 1, hi - lo)
+    ends = np.cumsum(size)
+    found = np.empty(int(ends[-1]), "<i4")
+    found[(ends - size)[key >= 0]] = p.ids[key[key >= 0]]
+    spelt = np.flatnonzero(key < 0)  # written as bytes
+    inner = np.arange(int(size[spelt].sum())) - np.repeat(np.cumsum(size[spelt]) - size[spelt], size[spelt])
+    found[np.repeat((ends - size)[spelt], size[spelt]) + inner] = p.byte_ids[data[np.repeat(lo[spelt], size[spelt]) + inner]]
+    raw, cuts = found.tobytes(), np.concatenate([[0], np.cumsum(np.bincount(word, size, len(words)))]).astype(np.int64) * 4
+    cuts = cuts.tolist()
+    return [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 def _cut(p: Pieces, text: str) -> list[str]:
@@ -200,22 +208,24 @@ def encode_texts(p: Pieces, texts: list[str | None]) -> list[bytes | None]:
     if len(known) > KEPT:
         known.clear()
     cut = [None if not t or MARK in t else _cut(p, t) for t in texts]
-    new = list({w for words in cut if words for w in words if w not in known})
-    new.sort(key=len)  # words of like length take as many steps
+    new = sorted(set().union(*filter(None, cut)).difference(known), key=len)  # words of like length take as many steps
     coded = [w.encode("utf-8", "surrogatepass") for w in new]
-    extra = {w: _solve_long(p, c) for w, c in zip(new, coded, strict=True) if len(c) > LONG}
-    new, coded = [w for w in new if w not in extra], [c for c in coded if len(c) <= LONG]
+    long = [w for w, c in zip(new, coded, strict=True) if len(c) > LONG]
+    known.update((w, _solve_long(p, w.encode("utf-8", "surrogatepass"))) for w in long)
+    new, coded = [w for w, c in zip(new, coded, strict=True) if len(c) <= LONG], [c for c in coded if len(c) <= LONG]
     for i, j in slices(coded, [len(w) for w in coded], SOLVED):
-        for w, ids in zip(new[i:j], solve(p, coded[i:j]), strict=True):
-            (known if len(w) <= LONGEST else extra)[w] = ids
+        known.update(zip(new[i:j], solve(p, coded[i:j]), strict=True))
     out: list[bytes | None] = []
     for t, words in zip(texts, cut, strict=True):
         if words:
-            out.append(b"".join([known[w] if len(w) <= LONGEST else extra[w] for w in words]))
+            out.append(b"".join(map(known.__getitem__, words)))
         elif t:  # holds the marker itself: solved as a whole
             out.append(_with_markers(p, t))
         else:
             out.append(t if t is None else b"")
+    for w in [*long, *new]:
+        if len(w) > LONGEST:  # long words are not kept beyond their texts
+            known.pop(w, None)
     return out
 
 
