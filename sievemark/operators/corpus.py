@@ -198,7 +198,7 @@ def corpus(planned: DataFrame, profile: str = "base") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            docs = [render(r.doctype, r.template, r.index, r.seed, r.locale, profile) for r in b.rename(columns={"index": "index"}).itertuples(index=False)]
+            docs = [render(*row, profile) for row in zip(*(b[c].tolist() for c in ("doctype", "template", "index", "seed", "locale")), strict=True)]
             yield pd.DataFrame({"id": [f"{d}_{i:06d}" for d, i in zip(b["doctype"], b["index"], strict=True)], "doctype": b["doctype"], "template": b["template"], "bucket": b["bucket"], "text": [d.text for d in docs], "pii_spans": [sorted(d.spans, key=lambda s: s["start"]) for d in docs], "furniture": [d.furniture for d in docs], "tags": [sorted(d.tags) for d in docs]})
 
     return planned.mapInPandas(run, f"id string, doctype string, template string, bucket string, text string, pii_spans {SPAN_TYPE}, furniture {FURNITURE_TYPE}, tags array<string>")
