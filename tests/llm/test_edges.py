@@ -170,3 +170,23 @@ def test_rows_are_looked_up_exactly(spark):
     assert among(df, ids).count() < 600
     assert sorted(r.id for r in left_out(df, ids, "id").collect()) == [i for i in range(2000) if i % 7]
     assert left_out(df, ids.where("false"), "id").count() == 2000 and among(df, ids.where("false")).count() == 0
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sievemark.llm.storage import shared_dir
+
+    def session(master, folder):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key: folder), getCheckpointDir=lambda: None))
+
+    assert shared_dir(session("spark://x:7077", "hdfs://a/b/")) == "hdfs://a/b"
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_dir(session("spark://x:7077", None))
+
+
+def test_small_tables_are_few_files(spark):
+    work = Workspace(spark, "test")
+    table = work.write(spark.range(1_000).repartition(9), "small", rows=1_000)
+    assert len(table.inputFiles()) == 1 and table.count() == 1_000
+    assert len(work.write(spark.range(1_000).repartition(9), "free").inputFiles()) == 9
