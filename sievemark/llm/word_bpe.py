@@ -1,8 +1,9 @@
 """Token ids of whole texts by a word-level BPE vocabulary file.
 
 The vocabulary lowers case, drops white space and ends words at it, so the ids of
-a text are those of its white-space-separated chunks in turn. Chunks repeat, so
-each worker keeps the ids of those that it has seen.
+a text are those of its pre-tokens in turn: runs of letters, digits one by one, runs
+of other marks. Pre-tokens repeat, so each worker keeps the ids of those that it has
+seen. Texts with special tokens or odd white space go through the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import unicodedata
 from array import array
 
 #: The pre-tokenizer's pattern (fixed by the vocabulary file).
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORDS = r"[\p{L}]+|'s|'t|'re|'ve|'m|'ll|'d|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for ASCII in lower case.
+_ASCII_WORDS = re.compile(r"[a-z]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-z0-9]+").findall
 #: What str.split() takes for white space and the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f\x85]")
 _PLAIN = re.compile("[\t\n\x0b\x0c\r ]+")
-#: Chunks kept by a worker (about 40 MB), and the longest one kept.
+#: Pre-tokens kept by a worker (about 30 MB), and the longest one kept.
 KEPT, LONGEST = 150_000, 64
 
 
@@ -57,30 +60,25 @@ class WordBpe:
         self.tokenize = self.tokenizer.model.tokenize
         self.find = regex.compile(_WORDS).findall
         self.letters = _byte_letters()
-        self.parts, self.chunks = _Kept(self._part), _Kept(self._chunk)
+        self.parts = _Kept(self._part)
 
     def _part(self, word: str) -> bytes:
         """Ids of one pre-token, in lower case."""
         spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
         return _packed([t.id for t in self.tokenize(spelled)])
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a text without white space, by the steps of the tokenizer."""
-        if len(chunk) > LONGEST or "<|" in chunk or _ODD.search(chunk):
-            return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        low = chunk.lower() if chunk.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
-        parts = self.parts
-        if low.isalpha():
-            return parts[low]
-        if not low:
-            return b""
-        if low[-1] in ".,!|" and low[:-1].isalpha():
-            return parts[low[:-1]] + parts[low[-1]]
-        return b"".join(map(parts.__getitem__, self.find(low)))
+    def _whole(self, chunk: str) -> bytes:
+        """Ids of a text without white space, by the tokenizer itself."""
+        return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        words = _PLAIN.split(text) if _ODD.search(text) else text.split()
-        return b"".join(map(self.chunks.__getitem__, words))
+        if "<|" in text or _ODD.search(text):
+            return b"".join(map(self._whole, _PLAIN.split(text)))
+        if text.isascii():
+            return b"".join(map(self.parts.__getitem__, _ASCII_WORDS(text.lower())))
+        # The vocabulary lowers each character alone; Python only a sigma by its place.
+        low = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+        return b"".join(map(self.parts.__getitem__, self.find(low)))
 
 
 def _packed(ids: list[int]) -> bytes:
