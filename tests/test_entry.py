@@ -59,6 +59,14 @@ def test_added_parts_under_keys_in_use(spark, tmp_path):
     assert got.count("[1000091, 'changed']") > 1
 
 
+def test_phones_one_character_apart(spark, tmp_path):
+    """Of numbers with one character between them the SQL of ``detect_phone`` passes over the second."""
+    path = f"{tmp_path}/documents.parquet"
+    texts = ["ede43f6405768150e0411590525cf", "(212) 555-0100 212-555-0101 212-555-0102", "212-555-0100  212-555-0101", "212\x0b555-0100", "212\t555\n0100\n", "9+1 212.555.0100\r\n", "+1(212)5550100", "9(212) 555 0100", "\U0001f4de2125550100\u00e9", "12125550100", "", None]
+    spark.createDataFrame([(i, t, None if i == 5 else "abc"[i % 3]) for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(path)
+    assert same_over(spark, "detect_phone", documents=path)
+
+
 def test_no_query_takes_a_share_of_ids():
     """No SQL of a query keeps a share of its table by a remainder of its key alone."""
     import re
